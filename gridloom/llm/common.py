@@ -14,6 +14,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
+from gridloom.session import ship
+
 #: Bytes of text hashed at a time; a longer text is taken alone.
 CHUNK = 1 << 20
 #: Rows in an Arrow batch; texts may be long, so fewer than Spark's 10,000.
@@ -26,6 +28,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of few rows from here on: what a Python worker holds is bounded by BATCH_ROWS texts."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
@@ -74,12 +77,13 @@ def _powers(n: int) -> None:
             globals()[name] = np.multiply.accumulate(x)
 
 
-def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the words of all texts in order: 64-bit hash, first byte and end in their text; then each text's first word, and the end."""
+def word_hashes(texts: list[bytes], lower: bool = True, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the words of all texts in order: 64-bit hash, first byte and end in their text; then each text's first word, and the end.
+    space: which bytes stand between words, the newline among them."""
     buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     size = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     at = np.concatenate([[0], np.cumsum(size)])
-    word = ~_SPACE[buf]
+    word = ~space[buf]
     edge = np.flatnonzero(word[1:] != word[:-1]) + 1
     if len(word) and word[0]:
         edge = np.concatenate([[0], edge])
@@ -124,3 +128,9 @@ def shingle_set(h: np.ndarray, k: int) -> np.ndarray:
     if len(h) == 0:
         return np.zeros(0, np.uint64)
     return np.unique(runs(h, k)) if len(h) >= k else runs(h, len(h)) ^ np.uint64(len(h))
+
+
+def sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sum of the values between each two of the positions in first."""
+    total = np.concatenate([[0.0], np.cumsum(values)])
+    return total[first[1:]] - total[first[:-1]]

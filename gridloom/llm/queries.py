@@ -15,6 +15,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(read(spark, sf_dir, "documents"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.quality import classify
+
+    return classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -23,12 +29,30 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.toxicity import toxicity
+
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.pii import find_pii
+
+    return find_pii(read(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.exact_dedup import exact_groups
 
     return exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.jaccard import near_groups
+
+    return near_groups(read(spark, sf_dir, "documents"), k=3, t=(90, 100))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.mixing import label_weights, mix
 
@@ -36,7 +60,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op4_byte_bpe, op7_exact_dedup, op10_mixing)}
+    return {f.__name__: f for f in (op1_line_dedup, op3_quality_classifier, op4_byte_bpe, op5_toxicity, op6_pii, op7_exact_dedup, op9_ngram_jaccard, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
