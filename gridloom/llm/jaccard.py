@@ -36,8 +36,8 @@ from gridloom.llm.components import components
 K, SIMILARITY = 5, (80, 100)
 #: Frequent shingles that are put last in the order: at most so many, seen in this share of a task's documents.
 HOT, HOT_SHARE = 65_536, 2e-4
-#: Bits of the parity bitmap.
-BITS = 1024
+#: Fewest bits of a parity bitmap; else the next power of two from the size of the set, so that unlike sets differ in far more bits than a link allows.
+BITS = 256
 #: Classes of a bucket that are compared with one another in one block.
 BLOCK = 512
 #: Ids that are broadcast rather than shuffled to pick out texts.
@@ -93,7 +93,8 @@ def _features(docs: DataFrame, k: int, t: tuple[int, int], hot: np.ndarray) -> D
                     prefix.append(p)
                     digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     group.append(hashlib.blake2b(p.tobytes() + m.to_bytes(8, "little"), digest_size=16).digest())
-                    bitmap.append(np.packbits((np.bincount((splitmix(s) & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).astype(np.uint8)).tobytes())
+                    bits = 1 << max(BITS.bit_length() - 1, (m - 1).bit_length() if m else 0)
+                    bitmap.append(np.packbits((np.bincount((splitmix(s) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes())
             flat = np.concatenate([np.zeros(0, np.uint64), *prefix]).view(np.int64)
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -104,8 +105,20 @@ def _features(docs: DataFrame, k: int, t: tuple[int, int], hot: np.ndarray) -> D
     return docs.mapInArrow(made, "doc_id long, n int, cold int, digest binary, gkey binary, prefix array<long>, bitmap binary")
 
 
-def _words(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint64).reshape(len(column), BITS // 64)
+def _folded(x: np.ndarray) -> np.ndarray:
+    """The parity bitmaps of half as many bits: both halves together."""
+    half = x.shape[-1] // 2
+    return x[..., :half] ^ x[..., half:]
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Bits in which two parity bitmaps differ, at the smaller one's size: at most the elements that are in one set only."""
+    u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    while len(u) > len(v):
+        u = _folded(u)
+    while len(v) > len(u):
+        v = _folded(v)
+    return int(np.bitwise_count(u ^ v).sum(dtype=np.int64))
 
 
 def _apart(na, nb, t: tuple[int, int]):
@@ -121,7 +134,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, t: t
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in batches:
             if len(df):
-                d = np.bitwise_count(_words(df["bitmap_a"]) ^ _words(df["bitmap_b"])).sum(1, dtype=np.int64)
+                d = np.array([differing(x, y) for x, y in zip(df["bitmap_a"], df["bitmap_b"], strict=True)])
                 yield df.loc[d <= _apart(df["n_a"].to_numpy(np.int64), df["n_b"].to_numpy(np.int64), t), ["a", "b"]]
 
     side = lambda x: classes.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("bitmap").alias(f"bitmap_{x}"))
@@ -152,27 +165,38 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, t: t
 def _in_blocks(t: tuple[int, int], every: bool):
     """For rows sorted by block: pairs of different components whose bitmaps allow a link; each class's nearest, or all."""
 
+    num, den = t
+
     def pairs_of(token: pd.DataFrame) -> list[tuple[int, int]]:
-        n, comp, cid, here = (token[c].to_numpy() for c in ("n", "component", "cid", "here"))
+        n, pos, comp, cid, here = (token[c].to_numpy() for c in ("n", "pos", "component", "cid", "here"))
         if len(n) < 2 or (comp == comp[0]).all():
             return []
-        bits, found = _words(token["bitmap"]), []
-        one = token["bi"].iat[0] == token["bj"].iat[0]
-        n = n.astype(np.int64)
+        one, first = token["bi"].iat[0] == token["bj"].iat[0], token["bi"].iat[0]
+        n, left, at = n.astype(np.int64), n - pos - 1, np.arange(len(n))
+        raw = [np.frombuffer(x, np.uint64) for x in token["bitmap"]]
+        size = np.array([len(x) for x in raw])
+        # the bitmaps of each size, and those twice as large folded to it: sets that may link are no further apart
+        level = {b: (np.flatnonzero((size == b) | (size == 2 * b)), np.stack([raw[i] if size[i] == b else _folded(raw[i]) for i in np.flatnonzero((size == b) | (size == 2 * b))])) for b in np.unique(size)}
+        found = []
         for i in range(len(n)):
-            if not one and here[i] != token["bi"].iat[0]:
+            if not one and here[i] != first:
                 continue
-            other = comp != comp[i]
-            other &= np.arange(len(n)) > i if one else here != here[i]
-            j = np.flatnonzero(other)
-            if not len(j):
+            apart = _apart(n, n[i], t)
+            # of equal sets sizes, positions and components decide first; positions hold where the shared element is the first
+            ok = (comp != comp[i]) & (np.minimum(n, n[i]) * den >= np.maximum(n, n[i]) * num) & (2 * (1 + np.minimum(left, left[i])) >= n + n[i] - apart)
+            ok &= at > i if one else here != first
+            if not ok.any():
                 continue
-            d = np.bitwise_count(bits[j] ^ bits[i]).sum(1, dtype=np.int64)
-            apart = _apart(n[j], n[i], t)
-            ok = d <= apart
-            if ok.any():
-                j, d = j[ok], d[ok]
-                found += [(cid[i], cid[x]) for x in (j if every else j[[int(np.argmin(d))]])]
+            d = np.full(len(n), 1 << 60)
+            for b in (size[i], size[i] // 2):
+                if b in level:
+                    js, bits = level[b]
+                    mine = raw[i] if size[i] == b else _folded(raw[i])
+                    some = ok[js] & (np.minimum(size[js], size[i]) == b)
+                    d[js[some]] = np.bitwise_count(bits[some] ^ mine).sum(1, dtype=np.int64)
+            j = np.flatnonzero(d <= apart)
+            if len(j):
+                found += [(cid[i], cid[x]) for x in (j if every else j[[int(np.argmin(d[j]))]])]
         return found
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -221,13 +245,13 @@ def near_groups(docs: DataFrame, k: int = K, t: tuple[int, int] = SIMILARITY) ->
     links, passed = verified(tried, classes, docs, k, t)
     for every in (False, True):
         label = components(links)
-        now = keep(rows.join(label, rows["cid"] == label["node"], "left").select("token", "cid", "n", F.coalesce("component", "cid").alias("component")))
+        now = keep(rows.join(label, rows["cid"] == label["node"], "left").select("token", "cid", "n", "pos", F.coalesce("component", "cid").alias("component")))
         open_ = now.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo <> hi AND m > 2").select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("parts"))
         left = keep(now.join(open_, "token").join(classes.select("cid", "bitmap"), "cid"))
         if left.isEmpty():
             break
         left = left.withColumn("here", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
-        left = left.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("token", F.least("here", "with").alias("bi"), F.greatest("here", "with").alias("bj"), "here", "cid", "n", "component", "bitmap")
+        left = left.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("token", F.least("here", "with").alias("bi"), F.greatest("here", "with").alias("bj"), "here", "cid", "n", "pos", "component", "bitmap")
         pairs = left.repartition("token", "bi", "bj").sortWithinPartitions("token", "bi", "bj").mapInPandas(_in_blocks(t, every), "a long, b long")
         pairs = keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(passed, ["a", "b"], "left_anti"))
         if pairs.isEmpty():

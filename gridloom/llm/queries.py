@@ -15,6 +15,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(read(spark, sf_dir, "documents"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.embedding_dedup import vector_groups
+
+    return vector_groups(read(spark, sf_dir, "embeddings"), t=0.9)
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.quality import classify
 
@@ -47,6 +53,12 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.suffix_dedup import repeated_passages
+
+    return repeated_passages(read(spark, sf_dir, "documents"))
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.jaccard import near_groups
 
@@ -60,7 +72,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_quality_classifier, op4_byte_bpe, op5_toxicity, op6_pii, op7_exact_dedup, op9_ngram_jaccard, op10_mixing)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_embedding_dedup, op3_quality_classifier, op4_byte_bpe, op5_toxicity, op6_pii, op7_exact_dedup, op8_suffix_array, op9_ngram_jaccard, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
