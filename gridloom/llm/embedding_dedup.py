@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import keep, small_batches
 from gridloom.llm.components import components
 
-BLOCKS, CHUNK, SEED = 4, 4096, 64
+BLOCKS, CHUNK, SEED = 4, 16_384, 64
 #: Rows of slab figures that are broadcast; beyond it they are shuffled.
 BROADCAST_SLABS = 100_000
 _rotations: dict[int, np.ndarray] = {}
@@ -78,7 +78,9 @@ def _tile(t: float):
         home, here, mult, cid = df["home"].to_numpy(), df["here"].to_numpy(), df["mult"].to_numpy(), df["cid"].to_numpy()
         one, first = df["bi"].iat[0] == df["bj"].iat[0], df["bi"].iat[0]
         z = r[:, parts[b]].astype(np.float32)
-        q = (z * z).sum(1)
+        # one product gives squared distances: |x|^2 + |y|^2 - 2 xy
+        q, ones = (z * z).sum(1, keepdims=True), np.ones((len(df), 1), np.float32)
+        p, w = np.hstack([z, q, ones]), np.hstack([-2 * z, ones, q])
         left = np.arange(len(df)) if one else np.flatnonzero(here == first)
         right = np.arange(len(df)) if one else np.flatnonzero(here != first)
         n, root, edges = np.zeros(len(df), np.int64), np.arange(len(df)), []
@@ -89,11 +91,13 @@ def _tile(t: float):
                 i = root[i]
             return i
 
-        for at in range(0, len(left), 512):
-            i_ = left[at : at + 512]
-            near = q[i_][:, None] + q[right][None] - 2 * (z[i_] @ z[right].T) <= limit[b] + 1e-5
-            a, c = np.nonzero(near)
-            i, j = i_[a], right[c]
+        w = np.ascontiguousarray(w[right].T)
+        for at in range(0, len(left), 256):
+            i_ = left[at : at + 256]
+            # the first rows' own partners to the left were met before
+            skip = at if one else 0
+            a, c = np.divmod(np.flatnonzero(p[i_] @ w[:, skip:] <= limit[b] + 1e-5), len(right) - skip)
+            i, j = i_[a], right[c + skip]
             ok = (home[i] | home[j]) & (cid[i] != cid[j])
             if one:
                 ok &= i < j
@@ -104,16 +108,16 @@ def _tile(t: float):
                 hit = cos >= t
                 u, v = u[hit], v[hit]
                 gap = (r[u] - r[v]) ** 2
-                within = np.stack([gap[:, p].sum(1) for p in parts], 1) <= limit
+                within = np.stack([gap[:, x].sum(1) for x in parts], 1) <= limit
                 own = within.argmax(1) == b
                 u, v = u[own], v[own]
                 np.add.at(n, u, mult[v])
                 np.add.at(n, v, mult[u])
-                for p, s in zip(u.tolist(), v.tolist(), strict=True):
-                    fp, fs = find(p), find(s)
+                for e, s in zip(u.tolist(), v.tolist(), strict=True):
+                    fp, fs = find(e), find(s)
                     if fp != fs:
                         root[fp] = fs
-                        edges.append((cid[p], cid[s], 0))
+                        edges.append((cid[e], cid[s], 0))
         some = np.flatnonzero(n)
         return pd.DataFrame([*edges, *((cid[i], None, n[i]) for i in some)], columns=["a", "b", "n"]).astype({"a": "int64", "b": "Int64", "n": "int64"})
 
