@@ -34,8 +34,10 @@ from gridloom.llm.common import groups, keep, runs, shingle_set, small_batches,
 from gridloom.llm.components import components
 
 K, SIMILARITY = 5, (80, 100)
-#: Frequent shingles that are put last in the order: at most so many, seen in this share of a task's documents.
-HOT, HOT_SHARE = 65_536, 2e-4
+#: Frequent shingles that are put last in the order: at most HOT, each in HOT_LEAST documents of some task and in this share of them.
+HOT, HOT_LEAST, HOT_SHARE = 65_536, 6, 2e-4
+#: Counters in which a task counts shingles by hash.
+COUNTERS = 1 << 23
 #: Fewest bits of a parity bitmap; else the next power of two from the size of the set, so that unlike sets differ in far more bits than a link allows.
 BITS = 256
 #: Classes of a bucket that are compared with one another in one block.
@@ -59,18 +61,22 @@ def frequent(docs: DataFrame, k: int) -> np.ndarray:
     """The HOT most frequent shingles among those frequent in some task, ascending."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, n_kept, docs_seen = [], [], 0
+        n, found, docs_seen, shingles = np.zeros(COUNTERS, np.uint32), [], 0, 0
         for batch in batches:
             for _, texts in _texts(batch):
                 docs_seen += len(texts)
-                s, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *_sets(texts, k)]), return_counts=True)
-                kept.append(s[n > 1])
-                n_kept.append(n[n > 1])
-        if kept:
-            s, at = np.unique(np.concatenate(kept), return_inverse=True)
-            n = np.bincount(at, np.concatenate(n_kept), minlength=len(s)).astype(np.int64)
-            some = n >= max(8, HOT_SHARE * docs_seen)
-            yield pa.RecordBatch.from_arrays([pa.array(s[some].view(np.int64)), pa.array(n[some])], names=["token", "n"])
+                s = np.concatenate([np.zeros(0, np.uint64), *_sets(texts, k)])
+                shingles += len(s)
+                at = (s >> np.uint64(41)).astype(np.int64)
+                np.add.at(n, at, 1)
+                # a frequent shingle is still met when its counter has come so far
+                found.append(np.unique(s[n[at] >= HOT_LEAST]))
+        if found:
+            s = np.unique(np.concatenate(found))
+            count = n[(s >> np.uint64(41)).astype(np.int64)].astype(np.int64)
+            load = shingles / COUNTERS
+            some = count >= max(HOT_LEAST, HOT_SHARE * docs_seen, load + 6 * load**0.5)
+            yield pa.RecordBatch.from_arrays([pa.array(s[some].view(np.int64)), pa.array(count[some])], names=["token", "n"])
 
     top = docs.select("text").mapInArrow(counted, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(HOT)
     return np.sort(np.array([r[0] for r in top.collect()], np.int64).view(np.uint64))
@@ -199,6 +205,10 @@ def _in_blocks(t: tuple[int, int], every: bool):
                 found += [(cid[i], cid[x]) for x in (j if every else j[[int(np.argmin(d[j]))]])]
         return found
 
+    def told(rows: pd.DataFrame) -> list[tuple[int, int, int]]:
+        token = rows["token"].iat[0]
+        return [(token, a, b) for a, b in pairs_of(rows)]
+
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for df in batches:
@@ -207,12 +217,12 @@ def _in_blocks(t: tuple[int, int], every: bool):
                 continue
             key = df[["token", "bi", "bj"]].to_numpy(np.int64)
             cut = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
-            found = [p for a, b in zip([0, *cut[:-1]], cut, strict=False) for p in pairs_of(df.iloc[a:b])]
+            found = [p for a, b in zip([0, *cut[:-1]], cut, strict=False) for p in told(df.iloc[a:b])]
             rest = df.iloc[cut[-1] if len(cut) else 0 :]
             if found:
-                yield pd.DataFrame(found, columns=["a", "b"])
-        if rest is not None and (found := pairs_of(rest)):
-            yield pd.DataFrame(found, columns=["a", "b"])
+                yield pd.DataFrame(found, columns=["token", "a", "b"])
+        if rest is not None and len(rest) and (found := told(rest)):
+            yield pd.DataFrame(found, columns=["token", "a", "b"])
 
     return blocks
 
@@ -252,8 +262,10 @@ def near_groups(docs: DataFrame, k: int = K, t: tuple[int, int] = SIMILARITY) ->
             break
         left = left.withColumn("here", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
         left = left.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("token", F.least("here", "with").alias("bi"), F.greatest("here", "with").alias("bj"), "here", "cid", "n", "pos", "component", "bitmap")
-        pairs = left.repartition("token", "bi", "bj").sortWithinPartitions("token", "bi", "bj").mapInPandas(_in_blocks(t, every), "a long, b long")
-        pairs = keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(passed, ["a", "b"], "left_anti"))
+        met = keep(left.repartition("token", "bi", "bj").sortWithinPartitions("token", "bi", "bj").mapInPandas(_in_blocks(t, every), "token long, a long, b long"))
+        pairs = keep(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(passed, ["a", "b"], "left_anti"))
+        # components only grow: a bucket without such a pair now has none later
+        rows = rows.join(met.select("token").distinct(), "token", "left_semi")
         if pairs.isEmpty():
             break
         more, more_passed = verified(pairs, classes, docs, k, t)
