@@ -22,6 +22,8 @@ def table_live_facets(spark, sf_dir):
     return facets.live_facets(orders, filters, ["o_orderstatus", "o_orderpriority"])
 
 
+#: Phrases that are broadcast.
+PHRASES_SENT = 20_000
 _SPECS = [(">= 1500", "p_retailprice"), ("==5", "p_size"), ("=5", "p_size"), ("< 10.5", "p_size"), ("^brand#1", "p_brand"), ("!brand#1", "p_brand"), ('"brand#2"', "p_brand"), ("STEEL", "p_type"), ("∅", "p_name"), ("!∅", "p_name")]
 
 
@@ -210,14 +212,12 @@ def mode_flags(spark, sf_dir):
 
 @query("""SELECT doc_id, count(*) AS hits FROM documents, benchmark WHERE contains(documents.text, benchmark.text) GROUP BY 1""")
 def phrase_hits(spark, sf_dir):
-    """Documents that hold a listed phrase whole. The list is read once and sent along while it is small; beyond that, words join first."""
+    """Documents that hold a listed phrase whole. They meet phrases by their first four words, so nothing is compared with everything; only
+    candidates meet texts again. The phrases are sent to all tasks while they are few, and shuffled beyond that."""
     phrases = table(spark, sf_dir, "benchmark").select(F.col("item_id"), F.col("text").alias("phrase"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    # any phrase's rarest anchor is its first four words: documents meet phrases by those, so nothing is compared with everything
-    four = r"(?s)^\S+\s\S+\s\S+\s\S+"
-    heads = phrases.withColumn("head", F.regexp_extract("phrase", four, 0))
-    grams = docs.select("doc_id", "text", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(?<=(^|\W))(?=(\S+\s\S+\s\S+\s\S+))"), 2))).alias("head"))
-    found = grams.join(heads, "head").where(F.expr("contains(text, phrase)")).select("doc_id", "item_id").distinct()
-    return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("hits"))
-
-
+    heads = phrases.withColumn("head", F.regexp_extract("phrase", r"(?s)^\S+\s\S+\s\S+\s\S+", 0))
+    grams = docs.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(?<=(^|\W))(?=(\S+\s\S+\s\S+\s\S+))"), 2))).alias("head"))
+    few = phrases.limit(PHRASES_SENT + 1).count() <= PHRASES_SENT
+    near = grams.join(F.broadcast(heads) if few else heads, "head").select("doc_id", "item_id", "phrase").distinct()
+    return docs.join(near, "doc_id").where(F.expr("contains(text, phrase)")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("hits"))
