@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridloom.session import safe_unions
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -23,11 +25,11 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return safe_unions(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _load() -> None:
-    from gridloom.plans import entity_queries, history_queries, table_queries  # noqa: F401
+    from gridloom.plans import entity_queries, history_queries, resolver_queries, table_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -9,6 +9,13 @@ import zipfile
 from pyspark.sql import SparkSession
 
 
+def safe_unions(spark: SparkSession) -> SparkSession:
+    """Spark 4.1 lets a union of children that are partitioned alike claim that partitioning although it puts out the partitions of one child after
+    another's, so a window, grouping or join above it takes one key for several. Off, such a step shuffles again and is right."""
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+    return spark
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the Python workers, once a Spark application: they need not have it installed."""
     sc = spark.sparkContext

@@ -55,3 +55,91 @@ def test_entry_imports():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_union_keeps_keys_together(spark):
+    from pyspark.sql import functions as F
+
+    from gridloom.session import safe_unions
+
+    safe_unions(spark)
+    part = lambda n: spark.range(100).select((F.col("id") % 7).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit(n))
+    got = part(0).unionByName(part(1)).groupBy("k").agg(F.count(F.lit(1)).alias("sides")).collect()
+    assert sorted((r.k, r.sides) for r in got) == [(k, 2) for k in range(7)]
+
+
+def test_ordered_assignment_is_the_cheapest(spark):
+    import itertools
+    import random
+
+    from gridloom.operators.selection import ordered_assignment
+
+    rng, skip = random.Random(3), 4.0
+    left = [(k, float(rng.randrange(30))) for k in range(12) for _ in range(rng.randrange(1, 5))]
+    right = [(k, float(rng.randrange(30))) for k in range(12) for _ in range(rng.randrange(0, 5))]
+    got = {}
+    for r in ordered_assignment(spark.createDataFrame(left, "k int, y double"), spark.createDataFrame(right, "k int, y double"), "k", "y", skip).collect():
+        got.setdefault(r.k, []).append((r.i, r.j))
+    for k in range(12):
+        x, y = sorted(v for q, v in left if q == k), sorted(v for q, v in right if q == k)
+        cost = lambda p: sum(abs(x[i] - y[j]) for i, j in p) + skip * (len(x) - len(p))
+        ways = (tuple(zip(a, b, strict=True)) for n in range(min(len(x), len(y)) + 1) for a in itertools.combinations(range(len(x)), n) for b in itertools.combinations(range(len(y)), n))
+        mine = sorted(got.get(k, []))
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in itertools.pairwise(mine))
+        assert cost(mine) == min(map(cost, ways))
+
+
+def test_chains_stop_at_loops_and_forks(spark):
+    from gridloom.operators.selection import chains
+
+    links = spark.createDataFrame([("a", "b", "x"), ("b", "c", "y"), ("b", "d", "z"), ("c", "a", "w")], "a string, b string, kind string")
+    got = {("".join(r.path), "".join(r.kinds), r.ends) for r in chains(spark.createDataFrame([("a",), ("q",)], "node string"), links, 5).collect()}
+    assert got == {("abc", "xy", "loop"), ("abd", "xz", "end"), ("q", "", "end")}
+    assert {r.ends for r in chains(spark.createDataFrame([("a",)], "node string"), links, 1).collect()} == {"cut"}
+
+
+def test_same_end(spark):
+    from gridloom.operators.selection import same_end
+
+    rows = [("10BFA01-GS001-X1", "10BFA01-GS001.X1", True), ("10BFA01-X1", "10BFA01-GS001-X1", True), ("10BFA01-GS001", "10BFA02-GS001", False), ("10BFA01-A", "10BFA01-B", False), ("10BFA01-", "10BFA01-B", True)]
+    df = spark.createDataFrame(rows, "a string, b string, want boolean")
+    assert [r.got for r in df.select(same_end(df["a"], df["b"]).alias("got")).collect()] == [r[2] for r in rows]
+
+
+def test_formulas_keep_blanks_and_errors_apart(spark):
+    from gridloom.functions.formula import with_formula
+
+    df = spark.createDataFrame([(1, "x", None), (2, None, 4.0), (3, "7", 0.0)], "a int, b string, c double")
+    wants = {
+        "=C1+A1": [1.0, 6.0, 3.0],
+        "=A1/C1": [None, 0.5, None],
+        '=IFERROR(A1/C1,"none")': ["none", "0.5", "none"],
+        "=B1*2": [None, 0.0, 14.0],
+        '=B1&"|"&C1': ["x|", "|4", "7|0"],
+        "=ISBLANK(B1)": [False, True, False],
+        "=ISERROR(A1/C1)": [True, False, True],
+        "=-2^2": [4.0] * 3,
+        "=10%*A1": [0.1, 0.2, 0.3],
+        '=A1<"a"': [True] * 3,
+        '=B1=""': [False, True, False],
+        '=IF(AND(A1>1,C1=0),"yes","no")': ["no", "no", "yes"],
+        '=MID("abcdef",A1,2)': ["ab", "bc", "cd"],
+        '=SUBSTITUTE("a-b-c","-","+",2)': ["a-b+c"] * 3,
+        '=SEARCH("C?","abcd")': [3.0] * 3,
+        '=SUM(A:A)-COUNTIF(B:B,"x")': [5.0] * 3,
+        "=COUNTA(B:B)": [2.0] * 3,
+        "=DATE(2024,14,A1)-DATE(2025,2,1)": [0.0, 1.0, 2.0],
+    }
+    for f, want in wants.items():
+        got = [r.v for r in with_formula(df, "v", f).orderBy("a").collect()]
+        assert all(w == g or (isinstance(w, float) and g is not None and abs(w - g) < 1e-9) for w, g in zip(want, got, strict=True)), (f, got)
+
+
+def test_formats(spark):
+    from pyspark.sql import functions as F
+
+    from gridloom.functions.formats import display
+
+    rows = [(1234567.891, "#,##0.00", "1,234,567.89"), (0.5, ".##", ".5"), (0.125, "0.0%", "12.5%"), (-3.0, "0;(0)", "(3)"), (0.0, '0;-0;"nil"', "nil"), (1234567.0, '0,.0"k"', "1234.6k"), (7.0, "000", "007"), (2.50, "0.0#", "2.5"), (-0.001, "0.0", "0.0"), (45292.75, "yyyy-mm-dd hh:mm", "2024-01-01 18:00"), (45292.5, "m/d", "1/1"), (12.5, "General", "12.5"), (1e-4, "", "0.0001")]
+    for x, f, want in rows:
+        assert spark.range(1).select(display(F.lit(x), f, "number").alias("v")).first().v == want, (x, f)
