@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.session import ship
+from gridloom.session import safe_unions, ship
 
 #: Bytes of text hashed at a time; a longer text is taken alone.
 CHUNK = 1 << 20
@@ -23,7 +23,7 @@ BATCH_ROWS = 400
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return safe_unions(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def small_batches(spark: SparkSession) -> None:
