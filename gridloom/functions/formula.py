@@ -51,11 +51,12 @@ class Value:
 
 @dataclass
 class _Plan:
-    """What the formula asks of whole columns: aggregates by name, and counts by key."""
+    """What the formula asks of whole columns: aggregates by name, counts by keys among rows of a kind, and values at the first equal row."""
 
     df: DataFrame
     totals: dict[str, Column] = field(default_factory=dict)
-    counts: list[tuple[str, str, Column]] = field(default_factory=list)
+    counts: list[tuple[str, list[tuple[str, Column]], Column | None]] = field(default_factory=list)
+    lookups: list[tuple[str, str, str, Column]] = field(default_factory=list)
 
     def column(self, name: str) -> Value:
         t = dict(self.df.dtypes)[name]
@@ -76,6 +77,14 @@ class _Plan:
         return Value(F.col(name), kind)
 
 
+@dataclass
+class _Found:
+    """The first row whose column equals a value; INDEX reads it."""
+
+    name: str
+    key: Column
+
+
 class _Reader:
     def __init__(self, source: str, plan: _Plan):
         self.plan, self.tokens = plan, []
@@ -150,6 +159,8 @@ class _Reader:
             if not self.next_is(")"):
                 self.take(",")
         self.take(")")
+        if name == "MATCH":
+            return _match(self.plan, *args)
         if name in _WHOLE and args and isinstance(args[0], str):
             return _WHOLE[name](self.plan, *args)
         if name not in _CALLS:
@@ -276,17 +287,59 @@ def _loose(pattern: str) -> str:
     return wildcard(pattern).removeprefix("(?is)^").removesuffix("$")
 
 
-def _countif(plan: _Plan, name: str, want: Value) -> Value:
-    if want.literal is not None:
-        c = want.literal
-        return plan.total(F.count_if(criterion(f"{c:g}" if isinstance(c, float) else str(c), F.col(f"`{name}`"))))
+def _fixed(name: str, want: Value) -> Column:
+    c = want.literal
+    return criterion(f"{c:g}" if isinstance(c, float) else str(c), F.col(f"`{name}`"))
+
+
+def _countif(plan: _Plan, *pairs) -> Value:
+    """COUNTIF and COUNTIFS: rows that meet every criterion. Literal criteria hold for all rows; computed ones are equality with this row's value."""
+    pairs = list(zip(pairs[::2], pairs[1::2], strict=True))
+    fixed = [_fixed(n, v) for n, v in pairs if v.literal is not None]
+    where = None
+    for c in fixed:
+        where = c if where is None else where & c
+    keys = [(n, F.lower(v.text())) for n, v in pairs if v.literal is None]
+    if not keys:
+        return plan.total(F.count_if(where))
     out = f"_count{len(plan.counts)}"
-    plan.counts.append((out, name, F.lower(want.text())))
+    plan.counts.append((out, keys, where))
     return Value(F.coalesce(F.col(out), F.lit(0)), "number")
 
 
+def _sumproduct(plan: _Plan, *names: str) -> Value:
+    """Products of the columns' numbers row by row, added up; what is no number counts as 0. Decimals, so the order of rows does not matter."""
+    parts = []
+    for n in names:
+        v = plan.column(n)
+        parts.append(F.coalesce(v.c.try_cast("decimal(18,6)"), F.lit(0).cast("decimal(18,6)")) if v.kind == "number" else F.lit(0).cast("decimal(18,6)"))
+    out = parts[0]
+    for c in parts[1:]:
+        out = (out * c).cast("decimal(28,6)")
+    return plan.total(F.coalesce(F.sum(out), F.lit(0)))
+
+
+def _index(plan: _Plan, name: str, found: _Found) -> Value:
+    if not isinstance(found, _Found):
+        raise NotImplementedError("INDEX without MATCH: rows have no numbers")
+    out = f"_found{len(plan.lookups)}"
+    plan.lookups.append((out, name, found.name, found.key))
+    # no such row is an error; a blank cell there reads as blank, which IFERROR takes for an error too
+    return Value(F.col(out), plan.column(name).kind)
+
+
+def _match(plan: _Plan, want: Value, name: str, how: Value | None = None) -> _Found:
+    if how is None or how.literal != 0.0:
+        raise NotImplementedError("MATCH in sorted columns")
+    return _Found(name, F.lower(want.text()))
+
+
 _WHOLE = {
     "COUNTIF": _countif,
+    "COUNTIFS": _countif,
+    "COUNT": lambda p, n: p.total(F.count(F.col(f"`{n}`")) if p.column(n).kind in ("number", "date") else F.lit(0)),
+    "SUMPRODUCT": _sumproduct,
+    "INDEX": _index,
     "COUNTA": lambda p, n: p.total(F.count(F.col(f"`{n}`"))),
     "SUM": lambda p, n: p.total(F.coalesce(F.sum(p.column(n).c.try_cast("decimal(38,6)")), F.lit(0))),
     "AVERAGE": lambda p, n: p.total(F.avg(p.column(n).c.try_cast("decimal(30,6)"))),
@@ -295,18 +348,34 @@ _WHOLE = {
 }
 
 
-def with_formula(df: DataFrame, name: str, formula: str) -> DataFrame:
-    """df with a column computed by the formula. Totals of whole columns come as one broadcast row; COUNTIF by a cell joins a table of counts by key."""
+def with_formula(df: DataFrame, name: str, formula: str, order: list[str] | None = None) -> DataFrame:
+    """df with a column computed by the formula. Totals of whole columns come as one broadcast row; COUNTIF and COUNTIFS by cells and INDEX with MATCH
+    join a table of one row a key. order: the columns that tell which row is first for MATCH (all columns unless given)."""
     plan = _Plan(df)
     reader = _Reader(formula, plan)
     value = reader.expression()
     reader.take("")
     if reader.i != len(reader.tokens):
         raise SyntaxError(f"unread: {reader.tokens[reader.i - 1:]}")
+    if isinstance(value, _Found):
+        raise NotImplementedError("MATCH without INDEX: rows have no numbers")
     out = df
-    for at, column, key in plan.counts:
-        n = df.groupBy(F.lower(plan.column(column).text()).alias("_key")).agg(F.count(F.lit(1)).alias(at))
-        out = out.withColumn("_want", key).join(n, F.col("_want") == F.col("_key"), "left").drop("_want", "_key")
+    for at, pairs, where in plan.counts:
+        keys = [f"_key{i}" for i in range(len(pairs))]
+        n = (df if where is None else df.where(where)).groupBy(*(F.lower(plan.column(c).text()).alias(k) for (c, _), k in zip(pairs, keys, strict=True))).agg(F.count(F.lit(1)).alias(at))
+        out = _joined(out, n, keys, [w for _, w in pairs])
+    for at, column, where, key in plan.lookups:
+        first = F.struct(*(F.col(f"`{c}`") for c in order or df.columns))
+        # blank cells match nothing
+        n = df.where(F.col(f"`{where}`").isNotNull()).groupBy(F.lower(plan.column(where).text()).alias("_key0")).agg(F.min_by(F.col(f"`{column}`"), first).alias(at))
+        out = _joined(out, n, ["_key0"], [key])
     if plan.totals:
         out = out.crossJoin(F.broadcast(df.agg(*(c.alias(n) for n, c in plan.totals.items()))))  # one row
     return out.select(*df.columns, value.c.alias(name))
+
+
+def _joined(out: DataFrame, n: DataFrame, keys: list[str], wants: list[Column]) -> DataFrame:
+    for k, w in zip(keys, wants, strict=True):
+        out = out.withColumn(f"_want{k}", w)
+    on = [F.col(f"_want{k}") == F.col(k) for k in keys]
+    return out.join(n, on, "left").drop(*keys, *(f"_want{k}" for k in keys))

@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from gridloom.functions import text
+from gridloom.functions.formula import with_formula
 from gridloom.functions.predicates import compile_filter, criterion, wildcard
-from gridloom.operators import entities
+from gridloom.operators import documents, drawing, entities
 
 
 def test_filter_order_of_tests(spark):
@@ -143,3 +144,26 @@ def test_formats(spark):
     rows = [(1234567.891, "#,##0.00", "1,234,567.89"), (0.5, ".##", ".5"), (0.125, "0.0%", "12.5%"), (-3.0, "0;(0)", "(3)"), (0.0, '0;-0;"nil"', "nil"), (1234567.0, '0,.0"k"', "1234.6k"), (7.0, "000", "007"), (2.50, "0.0#", "2.5"), (-0.001, "0.0", "0.0"), (45292.75, "yyyy-mm-dd hh:mm", "2024-01-01 18:00"), (45292.5, "m/d", "1/1"), (12.5, "General", "12.5"), (1e-4, "", "0.0001")]
     for x, f, want in rows:
         assert spark.range(1).select(display(F.lit(x), f, "number").alias("v")).first().v == want, (x, f)
+
+
+def test_page_hits_bounds_and_quotes(spark):
+    pages = spark.createDataFrame([(1, 1, 3, "see ab-1x and AB-12"), (2, 1, 1, "AB-1"), (3, 1, 3, "xAB-1 AB-1_z"), (4, 1, 3, None), (5, 1, 3, "s/n 7\\Eq."), (6, 1, 3, "")], "doc long, page int, trust int, text string")
+    terms = spark.createDataFrame([(1, "AB-1", "tag"), (2, "ab-1", "serial"), (3, "7\\Eq", "serial"), (4, None, "tag"), (5, "--", "tag")], "entity long, term string, kind string")
+    got = sorted((r.entity, r.doc, r.exact) for r in documents.page_hits(pages, terms).collect())
+    assert got == [(1, 1, False), (1, 3, False), (2, 2, True), (2, 3, False), (3, 5, True)]
+    assert documents.page_hits(pages, terms.limit(0)).count() == 0
+
+
+def test_labels_follow_reading_direction(spark):
+    box = "page long, id long, dir int, x0 double, y0 double, x1 double, y1 double, text string"
+    flat = [(1, 1, 0, 0.0, 0.0, 30.0, 10.0, "S"), (1, 2, 0, 0.0, 11.0, 30.0, 21.0, "E"), (1, 3, 0, 40.0, 0.0, 60.0, 10.0, "E"), (1, 4, 0, 500.0, 0.0, 520.0, 10.0, "E")]
+    # page 2 is page 1 turned by a quarter, so that texts run down and the next line is to the left
+    turned = [(2, i, 1, -y1, x0, -y0, x1, t) for _, i, _, x0, y0, x1, y1, t in flat]
+    got = drawing.merged_labels(spark.createDataFrame(flat + turned, box), F.col("text") == "S", F.col("text") == "E").collect()
+    assert sorted((r.page, r.id, r.first_id, r.label, r.form) for r in got) == [(p, i, 1, "SE", f) for p in (1, 2) for i, f in ((2, "stacked"), (3, "inline"))]
+
+
+def test_lookup_of_a_missing_key_is_an_error(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", None), (None, "y")], "k string, v string")
+    out = with_formula(df, "f", '=IFERROR(INDEX(A:A,MATCH(B2,A:A,0)),"no")')
+    assert {r.f for r in out.collect()} == {"no"} and out.count() == 3

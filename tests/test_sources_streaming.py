@@ -1,7 +1,10 @@
 import datetime
+import sqlite3
 import zipfile
 
-from gridloom.sources import files
+import pytest
+
+from gridloom.sources import files, relational
 from gridloom.streaming import ledger
 
 _M = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
@@ -36,3 +39,28 @@ def test_stream_drops_repeats(spark, tmp_path):
     q = ledger.too_many(stream, "txn", "ts", 1).writeStream.outputMode("update").format("memory").queryName("many").option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert {r.txn for r in spark.table("many").collect()} == {"a"}
+
+
+def test_sqlite_dump_and_audit(spark, tmp_path):
+    path = str(tmp_path / "a.db")
+    con = sqlite3.connect(path)
+    con.execute('CREATE TABLE "odd name" (id INTEGER PRIMARY KEY, "x""y" TEXT, v REAL, b BLOB)')
+    con.executemany('INSERT INTO "odd name" VALUES (?, ?, ?, ?)', [(1, "a", 1.5, b"\x00"), (2, None, 2, None), (9, "c", "text", b"")])
+    con.execute("CREATE TABLE empty (k VARCHAR(5))")
+    con.commit()
+    con.close()
+    cat = relational.sqlite_catalog(spark, path)
+    assert [(r.table, r.column, r.key) for r in cat.orderBy("table", "position").collect()] == [("empty", "k", False), ("odd name", "id", True), ("odd name", 'x"y', False), ("odd name", "v", False), ("odd name", "b", False)]
+    t = relational.read_sqlite(spark, path, "odd name")
+    assert [tuple(r) for r in t.orderBy("id").collect()] == [(1, "a", 1.5, bytearray(b"\x00")), (2, None, 2.0, None), (9, "c", None, bytearray())]
+    e = relational.read_sqlite(spark, path, "empty")
+    assert e.count() == 0 and e.columns == ["k"]
+    with pytest.raises(sqlite3.OperationalError):
+        relational.sqlite_catalog(spark, str(tmp_path / "none.db"))
+    got = relational.audit_counts({"odd name": t, "empty": e}, spark.createDataFrame([("odd name", 3), ("empty", 1)], "table string, expected long"))
+    assert {r.table: r.status for r in got.collect()} == {"odd name": "ok", "empty": "mismatch"}
+
+
+def test_fill_script_quotes(spark):
+    df = spark.createDataFrame([("p'1", 3), (None, 4), ("p2", None)], "pn string, n int")
+    assert [r.sql for r in relational.fill_script(df, "items", "pn", "n").collect()] == ["UPDATE items SET n = 3 WHERE pn = 'p''1' AND n IS NULL;"]
