@@ -18,25 +18,29 @@ def page_hits(pages: DataFrame, terms: DataFrame) -> DataFrame:
     """doc, page, entity, term, kind, exact: pages (doc, page, trust, text) that hold a term (entity, term, kind), whatever its case.
 
     A term must not follow a letter or digit. A tag must not be followed by a digit, other kinds not by a letter or digit; it is exact if no letter,
-    digit, _ or - follows. Tags count in documents of trust 2 or more only. Terms meet pages by their first word, cut where letters or digits end or,
-    for tags, by prefix at the lengths that tags have; only such candidates are compared with texts. Null and empty terms and texts hit nothing.
+    digit, _ or - follows; letters and digits are those of ASCII. Tags count in documents of trust 2 or more only. Terms meet pages by their longest word,
+    as a prefix of a word there; only such candidates are compared with texts. Null and empty terms and texts hit nothing.
     """
     terms = terms.where(F.col("term").rlike(r"[A-Za-z0-9]")).withColumn("_t", F.upper("term"))
-    terms = terms.withColumn("_head", F.regexp_extract("_t", _WORD, 0))
+    # the longest word, as the rarest; the first of those
+    runs = F.regexp_extract_all("term", F.lit(f"({_WORD})"), 1)
+    terms = terms.withColumn("_head", F.upper(F.aggregate(runs, F.lit(""), lambda a, w: F.when(F.length(w) > F.length(a), w).otherwise(a)))).distinct()
     distinct = terms.select("_head").distinct()
     # a tag's last word may run on into letters, so heads are met by every prefix of a page's words that is as long as some head
     sizes = sorted(r[0] for r in distinct.select(F.length("_head")).distinct().collect())  # at most as many as lengths of words
     if not sizes:
         sizes = [0]
-    words = pages.select("doc", "page", F.explode(F.array_distinct(F.regexp_extract_all(F.upper("text"), F.lit(f"({_WORD})"), 1))).alias("_w"))
-    heads = words.select("doc", "page", F.explode(F.array_distinct(F.transform(F.filter(F.array(*map(F.lit, sizes)), lambda n: n <= F.length("_w")), lambda n: F.substring(F.col("_w"), F.lit(1), n)))).alias("_head")).distinct()
+    words = F.transform(F.regexp_extract_all("text", F.lit(f"({_WORD})"), 1), F.upper)
+    cut = lambda w: F.transform(F.filter(F.array(*map(F.lit, sizes)), lambda n: n <= F.length(w)), lambda n: F.substring(w, F.lit(1), n))
+    # distinct within a page before rows multiply, so nothing is shuffled ahead of the join
+    heads = pages.select("doc", "page", F.explode(F.array_distinct(F.flatten(F.transform(F.array_distinct(words), cut)))).alias("_head"))
     few = terms.limit(SENT + 1).count() <= SENT
     near = heads.join(F.broadcast(terms) if few else terms, "_head").select("doc", "page", "entity", "term", "kind", "_t")
     met = near.join(pages.select("doc", "page", "trust", "text"), ["doc", "page"]).where((F.col("kind") != "tag") | (F.col("trust") >= 2))
-    quoted = F.concat(F.lit(r"(?<![A-Z0-9])\Q"), F.replace("_t", F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    quoted = F.concat(F.lit(r"(?iu)(?<![A-Z0-9])\Q"), F.replace("term", F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
     loose = F.when(F.col("kind") == "tag", F.lit("(?![0-9])")).otherwise(F.lit("(?![A-Z0-9])"))
-    met = met.where(F.regexp_like(F.upper("text"), F.concat(quoted, loose)))
-    return met.select("doc", "page", "trust", "entity", "term", "kind", F.regexp_like(F.upper("text"), F.concat(quoted, F.lit(r"(?![A-Z0-9_\-])"))).alias("exact"))
+    met = met.where(F.contains(F.upper("text"), F.col("_t")) & F.regexp_like("text", F.concat(quoted, loose)))
+    return met.select("doc", "page", "trust", "entity", "term", "kind", F.regexp_like("text", F.concat(quoted, F.lit(r"(?![A-Z0-9_\-])"))).alias("exact"))
 
 
 def entity_documents(hits: DataFrame, docs: DataFrame, order: list[Column], keep: dict[str, int], other: int = 2, most: int = MOST) -> DataFrame:

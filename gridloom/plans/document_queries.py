@@ -12,7 +12,7 @@ from gridloom.sources import relational
 _KEEP = {"en": 3, "de": 1}
 
 
-@query("""WITH t AS (SELECT DISTINCT item_id % 10 AS entity, upper(regexp_extract(text, '^\\S+ \\S+ \\S+')) AS term, CASE WHEN item_id % 3 = 0 THEN 'tag' ELSE 'serial' END AS kind FROM benchmark WHERE regexp_full_match(text, '[ -~]+')),
+@query("""WITH t AS (SELECT DISTINCT item_id % 10 AS entity, upper(regexp_extract(text, '^[A-Za-z]+ [A-Za-z]+')) AS term, CASE WHEN item_id % 3 = 0 THEN 'tag' ELSE 'serial' END AS kind FROM benchmark WHERE regexp_matches(text, '^[A-Za-z]+ [A-Za-z]')),
 d AS (SELECT doc_id AS doc, upper(text) AS text, 1 + doc_id % 3 AS trust, lang AS category, source || doc_id % 40 AS number, doc_id // 40 AS revision, source || doc_id % 20 AS family FROM documents),
 h AS (SELECT *, regexp_matches(text, '(^|[^A-Z0-9])' || regexp_escape(term) || '([^A-Z0-9_-]|$)') AS exact FROM d JOIN t ON contains(text, term) AND regexp_matches(text, '(^|[^A-Z0-9])' || regexp_escape(term) || CASE WHEN kind = 'tag' THEN '([^0-9]|$)' ELSE '([^A-Z0-9]|$)' END)
  WHERE kind <> 'tag' OR trust >= 2),
@@ -22,8 +22,8 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY entity, category ORDER BY N
 SELECT entity, category, place, doc, term, exact, k AND sum(k::INT) OVER (PARTITION BY entity ORDER BY category, place) <= 4 AS shown, members - 1 AS others FROM kept""")
 def entity_documents(spark, sf_dir):
     """Documents of ten entities by the first words of their phrases: newest number, families, at most 3, 1 or 2 a language and 4 an entity shown."""
-    b = table(spark, sf_dir, "benchmark").where(F.col("text").rlike("^[ -~]+$"))
-    term = F.upper(F.regexp_extract("text", r"^\S+ \S+ \S+", 0))
+    b = table(spark, sf_dir, "benchmark").where(F.col("text").rlike("^[A-Za-z]+ [A-Za-z]"))
+    term = F.upper(F.regexp_extract("text", "^[A-Za-z]+ [A-Za-z]+", 0))
     terms = b.select((F.col("item_id") % 10).alias("entity"), term.alias("term"), F.when(F.col("item_id") % 3 == 0, "tag").otherwise("serial").alias("kind")).distinct()
     d = table(spark, sf_dir, "documents")
     pages = d.select(F.col("doc_id").alias("doc"), F.lit(1).alias("page"), (F.col("doc_id") % 3 + 1).alias("trust"), "text")
