@@ -1,13 +1,14 @@
 """Repeated passages by sparse suffix arrays.
 
 Of all suffixes (at words) only those at minimisers are kept: the least hash of GRAM words in every WINDOW neighbours, so equal
-text keeps equal suffixes. A kept suffix is sorted by its first SEED words, then by what follows, then by document; neighbours that share
-the seed are compared. Matches of two documents on one diagonal chain up (seeds are longer than the distance between kept suffixes,
+text keeps equal suffixes. Kept suffixes that share their first SEED words make a bucket. In a bucket of at most NEIGHBOURS + 1 all are compared. In a larger
+one, a suffix whose SIDE words on both sides read as an earlier one's too is compared with that one; of the first of each such kind every
+passage of MIN_WORDS words about the seed is hashed, and compared with an earlier one that reads the same. Matches of two documents on one diagonal chain up (seeds are longer than the distance between kept suffixes,
 so chained seeds leave no gap) and chains are extended word by word to the left and to the right, at most a WINDOW each way, beyond
 which another kept suffix would lie. Chains of at least MIN_WORDS words stay; each passage is reported at every occurrence but the first.
 
 Every passage of MIN_WORDS words has a kept suffix among its first WINDOW words with at least SEED words of the passage after
-it, so it is in one bucket with its copies. Large buckets are salted by document; the firsts of the salts meet once more.
+it, so it is in one bucket with its copies, and meets one of them however many the bucket holds. Large buckets are salted by document; the firsts of the salts meet once more.
 (A text that repeats a few words over and over matches itself at the distance of kept suffixes, so of a periodic run the first WINDOW words or so
 count as its first occurrence.)
 
@@ -27,11 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from gridloom.llm.common import groups, keep, runs, small_batches, word_hashes
+from gridloom.llm.common import groups, keep, runs, small_batches, splitmix, word_hashes
 
 MIN_WORDS, GRAM, WINDOW = 50, 8, 20
 SEED = MIN_WORDS - WINDOW + 1
-#: Neighbours before it that a suffix is compared with: a passage may match further left with one than with another.
+#: Words beside the seed that a passage of MIN_WORDS words can have on one side.
+SIDE = MIN_WORDS - SEED
+#: A bucket of one more than this is small: each of its suffixes is compared with all before it.
 NEIGHBOURS = 3
 #: Suffixes of a bucket that one salt gets.
 SALTED = 2000
@@ -39,35 +42,73 @@ SALTED = 2000
 BROADCAST_IDS = 1_000_000
 
 
-def minimisers(g: np.ndarray) -> np.ndarray:
-    """Positions of the least of every WINDOW neighbours; in runs of equal hashes no more than needed."""
+def _least(g: np.ndarray) -> np.ndarray:
+    """Of every WINDOW neighbours the position of the least; in runs of equal hashes few different ones."""
     if len(g) < WINDOW:
         return np.zeros(0, np.int64)
     key = (g & ~np.uint64(15)) | (np.arange(len(g), dtype=np.uint64) & np.uint64(15))
-    return np.unique(np.lib.stride_tricks.sliding_window_view(key, WINDOW).argmin(1) + np.arange(len(g) - WINDOW + 1))
+    return np.lib.stride_tricks.sliding_window_view(key, WINDOW).argmin(1) + np.arange(len(g) - WINDOW + 1)
+
+
+def minimisers(g: np.ndarray) -> np.ndarray:
+    """Positions of the least of every WINDOW neighbours; in runs of equal hashes no more than needed."""
+    return np.unique(_least(g))
+
+
+def _long_runs(h: np.ndarray, k: int, n: int) -> np.ndarray:
+    """Hash of each k * n words that follow one another, from those of k."""
+    part = runs(h, k)
+    size = len(h) - k * n + 1
+    if size <= 0:
+        return np.zeros(0, np.uint64)
+    out = np.zeros(size, np.uint64)
+    for j in range(n):
+        out = splitmix(out * np.uint64(0xD6E8FEB86659FD93) + part[j * k : j * k + size])
+    return out
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    gap = np.zeros(SIDE, np.uint64)  # stands for the words that a text lacks beside a seed
     for batch in batches:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
         for at, texts in groups(batch.column("text").cast(pa.binary()).to_pylist()):
             h, _, _, first = word_hashes(texts, lower=False)
-            seed, gram, after = runs(h, SEED), runs(h, GRAM), runs(h, WINDOW)
-            doc, pos, bucket, rest = [], [], [], []
+            seed, gram = runs(h, SEED), runs(h, GRAM)
+            doc, pos, bucket, around = [], [], [], []
             for j, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
                 if b - a < MIN_WORDS:
                     continue
                 p = minimisers(gram[a : b - GRAM + 1])
                 p = p[p <= b - a - SEED]
-                nxt = a + p + SEED
                 doc.append(np.full(len(p), ids[at + j]))
                 pos.append(p)
                 bucket.append(seed[a + p])
-                rest.append(np.where(nxt + WINDOW <= b, after[np.minimum(nxt, len(after) - 1)] >> np.uint64(33), np.uint64(0)))
+                around.append(_long_runs(np.concatenate([gap, h[a:b], gap]), (SEED + 2 * SIDE) // 3, 3)[p])
             if doc:
-                # position and the hash of what follows share one number
-                both = (np.concatenate(rest).astype(np.int64) << 32) | np.concatenate(pos)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(bucket).view(np.int64)), pa.array(np.concatenate(doc).astype(np.int64)), pa.array(both)], names=["seed", "doc", "rest_pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(bucket).view(np.int64)), pa.array(np.concatenate(doc).astype(np.int64)), pa.array(np.concatenate(pos).astype(np.int32)), pa.array(np.concatenate(around).view(np.int64))], names=["seed", "doc", "pos", "around"])
+
+
+def _passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The passages of MIN_WORDS words whose kept suffix is among the places, each with the salt of that suffix."""
+    for df in batches:
+        for i, texts in groups(df["text"]):
+            h, _, _, first = word_hashes(texts, lower=False)
+            key, salt, doc, pos = [], [], [], []
+            for j, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
+                if b - a < MIN_WORDS:
+                    continue
+                r = df.iloc[i + j]
+                of = np.full(b - a, -1, np.int64)
+                at, salts = np.asarray(r["at"]), np.asarray(r["salts"])
+                of[at[at < b - a]] = salts[at < b - a]
+                of = of[_least(runs(h[a:b], GRAM))[: b - a - MIN_WORDS + 1]]
+                p = np.flatnonzero(of >= 0)
+                key.append(_long_runs(h[a:b], MIN_WORDS // 5, 5)[p].view(np.int64))
+                salt.append(of[p])
+                doc.append(np.full(len(p), r["doc_id"]))
+                pos.append(p)
+            if key:
+                yield pd.DataFrame({"key": np.concatenate(key), "salt": np.concatenate(salt), "doc": np.concatenate(doc), "pos": np.concatenate(pos)})
 
 
 def _chains(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,17 +150,27 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     (in a document with a smaller id, or further up in the same), merged where they touch, with the documents they were matched with."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
-    suffixes = docs.mapInArrow(_anchors, "seed long, doc long, rest_pos long")
+    suffixes = docs.mapInArrow(_anchors, "seed long, doc long, pos int, around long")
     many = suffixes.groupBy("seed").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    kept = keep(suffixes.join(many, "seed").select("seed", "doc", F.shiftright("rest_pos", 32).cast("int").alias("rest"), F.col("rest_pos").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos"), F.pmod(F.xxhash64("doc"), F.ceil(F.col("c") / SALTED)).cast("int").alias("salt")))
-    order = [F.col(c) for c in ("rest", "doc", "pos")]
+    # of a small bucket -1; 0 where one salt holds the bucket
+    salt = F.when(F.col("c") <= NEIGHBOURS + 1, -1).when(F.col("c") <= SALTED, 0).otherwise(F.pmod(F.xxhash64("doc"), F.ceil(F.col("c") / SALTED)) + 1).cast("int")
+    kept = keep(suffixes.join(many, "seed").select("seed", "doc", "pos", "around", salt.alias("salt")))
     before = F.struct("doc", "pos")
-    neighbours = lambda df, w: df.select("doc", "pos", F.array(*(F.lag(before, k).over(w) for k in range(1, NEIGHBOURS + 1))).alias("prevs")).select("doc", "pos", F.explode("prevs").alias("prev"))
-    near = neighbours(kept, W.partitionBy("seed", "salt").orderBy(*order))
-    # the first of each salt, and of what follows differently, meets those of the other salts
-    first = kept.groupBy("seed", "salt", "rest").agg(F.min(before).alias("f")).select("seed", "rest", F.col("f.doc").alias("doc"), F.col("f.pos").alias("pos"))
-    across = neighbours(first, W.partitionBy("seed").orderBy(*order))
-    pairs = near.unionByName(across).where("prev IS NOT NULL")
+    neighbours = lambda df, w, n=1: df.select("doc", "pos", F.array(*(F.lag(before, k).over(w.orderBy("doc", "pos")) for k in range(1, n + 1))).alias("prevs")).select("doc", "pos", F.explode("prevs").alias("prev"))
+
+    def alike(df: DataFrame, *by: str) -> DataFrame:
+        """Each row with the one before it of those that are alike in by; the first of each salt meets those of the other salts."""
+        firsts = df.where("salt > 0").groupBy(*by, "salt").agg(F.min(before).alias("f")).select(*by, "f.doc", "f.pos")
+        return neighbours(df, W.partitionBy(*by, "salt")).unionByName(neighbours(firsts, W.partitionBy(*by)))
+
+    large = kept.where("salt >= 0")
+    kinds = large.groupBy("seed", "around").agg(F.min(F.struct("doc", "pos", "salt")).alias("f")).select("f.doc", "f.pos", "f.salt")
+    kinds = keep(kinds.groupBy(F.col("doc").alias("id")).agg(F.collect_list(F.struct("pos", "salt")).alias("x")).select("id", F.col("x.pos").alias("at"), F.col("x.salt").alias("salts")))
+    few = kinds.count() <= BROADCAST_IDS // 10
+    passages = docs.join(F.broadcast(kinds) if few else kinds, docs["doc_id"] == kinds["id"]).select("doc_id", "text", "at", "salts")
+    passages = keep(passages.mapInPandas(_passages, "key long, salt int, doc long, pos int"))
+    near = neighbours(kept.where("salt < 0"), W.partitionBy("seed"), NEIGHBOURS)
+    pairs = near.unionByName(alike(large, "seed", "around")).unionByName(alike(passages, "key")).where("prev IS NOT NULL")
     lo, hi = F.least(before, F.col("prev")), F.greatest(before, F.col("prev"))
     pairs = pairs.select(lo.alias("a"), hi.alias("b")).where("a <> b").select(F.col("b.doc").alias("doc"), F.col("a.doc").alias("other"), (F.col("b.pos") - F.col("a.pos")).alias("diag"), F.col("b.pos").alias("at"))
     chains = keep(pairs.groupBy("doc", "other", "diag").agg(F.collect_set("at").alias("at")).mapInPandas(_chains, "doc long, other long, diag int, start int, end int"))

@@ -169,6 +169,32 @@ def test_repeated_passages(docs, none):
     assert suffix_dedup.repeated_passages(none).count() == 0
 
 
+def test_passages_about_a_common_line_are_those_of_all_windows(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SALTED", 50)  # so that salts meet too
+    made = []
+    for k in range(3):
+        line = text(46, 900 + k)
+        for i in range(9):  # pairs that share 8 words besides the line, i of them before it
+            for n in (0, 1):
+                at = 1000 * k + 50 * n + i
+                around = text(8, 100_000 + 1000 * k + i).split()
+                made.append((at, " ".join([text(30, 200_000 + at), *around[:i], line, *around[i:], text(30, 300_000 + at)])))
+        made += [(1000 * k + i, f"{text(30, 400_000 + 1000 * k + i)} {line} {text(30, 500_000 + 1000 * k + i)}") for i in range(100, 300)]
+    r = random.Random(8)
+    r.shuffle(made)
+    seen, want = {}, {}
+    for i, t in sorted(made):
+        w = t.split()
+        for j in range(len(w) - 49):
+            if seen.setdefault(tuple(w[j : j + 50]), (i, j)) != (i, j):
+                want.setdefault(i, set()).update(range(j, j + 50))
+    assert len(want) >= 27
+    got = {}
+    for x in suffix_dedup.repeated_passages(spark.createDataFrame(made, "doc_id long, text string")).collect():
+        got.setdefault(x.doc_id, set()).update(range(x.start_word, x.end_word))
+    assert got == want
+
+
 def test_mix(docs, none):
     got = mixing.mix(docs).collect()
     sizes = {}
