@@ -46,6 +46,22 @@ def two_tier(left: DataFrame, right: DataFrame, exact: str, family: str) -> Data
     return a.unionByName(b)
 
 
+def numbered(df: DataFrame, key: str, name: str, ranges: int = 256) -> DataFrame:
+    """df with name, its row's number from 1 in the order of a number key that no two rows share. Rows are numbered in ranges of the key, each from the count of
+    those before it, so no task gets them all."""
+    cuts = sorted(set(df.agg(F.percentile_approx(key, [k / ranges for k in range(1, ranges)], 100 * ranges)).first()[0] or []))
+    rows = df.withColumn("_range", F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col(key))) if cuts else F.lit(0))
+    sizes = dict(map(tuple, rows.groupBy("_range").count().collect()))  # as many rows as ranges
+    before = F.array(*(F.lit(sum(n for r, n in sizes.items() if r < k)).cast("long") for k in range(len(cuts) + 1)))
+    return rows.withColumn(name, before[F.col("_range")] + F.row_number().over(W.partitionBy("_range").orderBy(key))).drop("_range")
+
+
+def positional(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
+    """i, a, b, reason: the rows of both tables in the order of their keys a and b, side by side."""
+    reason = F.when(F.col(a).isNull(), "left missing").when(F.col(b).isNull(), "right missing").when(F.col(a) != F.col(b), "differs").otherwise("same")
+    return numbered(left.select(a), a, "i").join(numbered(right.select(b), b, "i"), "i", "full").select("i", a, b, reason.alias("reason"))
+
+
 def paths(edges: DataFrame, roots: DataFrame, most: int = 16) -> DataFrame:
     """edges (child, parent, name), roots (node, name) -> node, path, depth. A join for each level, at most `most`; levels are bounded by the tree, not by rows."""
     level = roots.select("node", F.col("name").alias("path"), F.lit(0).alias("depth"))

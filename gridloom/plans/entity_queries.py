@@ -61,6 +61,16 @@ def two_tier_match(spark, sf_dir):
     return entities.two_tier(left, right, "p_name", "p_brand").select("p_partkey", "match", "tier")
 
 
+@query("""WITH l AS (SELECT p_partkey, 'Supplier#' || lpad(p_partkey::VARCHAR, 9, '0') AS code, p_partkey % 100 AS family FROM part), r AS (SELECT s_suppkey AS id, s_name AS code, s_suppkey % 100 AS family FROM supplier),
+a AS (SELECT p_partkey, id AS match, 1 AS tier FROM l JOIN r USING (code)) SELECT * FROM a UNION ALL SELECT p_partkey, id, 2 FROM l JOIN r USING (family) WHERE l.code NOT IN (SELECT code FROM r)""")
+def two_tier_match_all(spark, sf_dir):
+    """All parts against all suppliers, by the whole code or else by its last two digits."""
+    code = F.concat(F.lit("Supplier#"), F.lpad(F.col("p_partkey").cast("string"), 9, "0"))
+    left = table(spark, sf_dir, "part").select("p_partkey", code.alias("code"), (F.col("p_partkey") % 100).alias("family"))
+    right = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("code"), (F.col("s_suppkey") % 100).alias("family"))
+    return entities.two_tier(left, right, "code", "family").select("p_partkey", "match", "tier")
+
+
 @query("""SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')""")
 def superseded_only(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
@@ -133,10 +143,14 @@ def fuzzy_names(spark, sf_dir):
 @query("""WITH a AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS i FROM orders WHERE o_orderkey < 500), b AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS i FROM customer WHERE c_custkey < 400)
 SELECT i, o_orderkey, c_custkey, CASE WHEN o_orderkey IS NULL THEN 'left missing' WHEN c_custkey IS NULL THEN 'right missing' WHEN o_orderkey <> c_custkey THEN 'differs' ELSE 'same' END AS reason FROM a FULL JOIN b USING (i)""")
 def positional_audit(spark, sf_dir):
-    a = table(spark, sf_dir, "orders").where("o_orderkey < 500").select("o_orderkey", F.row_number().over(W.orderBy("o_orderkey")).alias("i"))
-    b = table(spark, sf_dir, "customer").where("c_custkey < 400").select("c_custkey", F.row_number().over(W.orderBy("c_custkey")).alias("i"))
-    reason = F.when(F.col("o_orderkey").isNull(), "left missing").when(F.col("c_custkey").isNull(), "right missing").when(F.col("o_orderkey") != F.col("c_custkey"), "differs").otherwise("same")
-    return a.join(b, "i", "full").select(F.col("i").cast("long"), "o_orderkey", "c_custkey", reason.alias("reason"))
+    """The slice that its SQL names; positional_audit_all has the whole tables."""
+    return entities.positional(table(spark, sf_dir, "orders").where("o_orderkey < 500"), table(spark, sf_dir, "customer").where("c_custkey < 400"), "o_orderkey", "c_custkey")
+
+
+@query("""WITH a AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS i FROM orders), b AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS i FROM customer)
+SELECT i, o_orderkey, c_custkey, CASE WHEN o_orderkey IS NULL THEN 'left missing' WHEN c_custkey IS NULL THEN 'right missing' WHEN o_orderkey <> c_custkey THEN 'differs' ELSE 'same' END AS reason FROM a FULL JOIN b USING (i)""")
+def positional_audit_all(spark, sf_dir):
+    return entities.positional(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"), "o_orderkey", "c_custkey")
 
 
 @query("""WITH x AS (SELECT s_suppkey, u FROM supplier, (VALUES ('G11'), ('G12')) AS t(u)), d AS (SELECT * FROM x WHERE NOT (s_suppkey % 10 = 0 AND u = 'G12') UNION ALL SELECT 0, 'C10')

@@ -52,6 +52,28 @@ def test_overlap_is_measured_against_kept_boxes_only(spark):
     assert sorted(r.id for r in entities.drop_overlaps(boxes, "page", 0.5).collect()) == [1, 3]
 
 
+def test_positional_audit_numbers_whole_tables(spark):
+    left, right = spark.range(0, 3000, 3).withColumnRenamed("id", "a"), spark.range(0, 2700, 3).withColumnRenamed("id", "b").where("b <> 2400").repartition(3)
+    got = sorted((tuple(r) for r in entities.positional(left.repartition(5), right, "a", "b").collect()), key=lambda r: r[0])
+    others = [3 * i for i in range(900) if i != 800] + [None] * 101
+    want = [(i + 1, 3 * i, b, "right missing" if b is None else "same" if b == 3 * i else "differs") for i, b in enumerate(others)]
+    assert got == want
+    plan = entities.numbered(left, "a", "i")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan  # no task gets all rows
+    assert [tuple(r) for r in entities.positional(left.limit(0), right.where("b = 0"), "a", "b").collect()] == [(1, None, 0, "left missing")]
+
+
+def test_registered_audit_and_tiers_take_whole_tables(spark):
+    from gridloom.plans import registry
+
+    t = lambda n: spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet")
+    q = registry.queries()
+    audit = q["positional_audit_all"](spark, "/root/testdata/sf0.01")
+    assert audit.count() == max(t("orders").count(), t("customer").count())
+    tiers = q["two_tier_match_all"](spark, "/root/testdata/sf0.01")
+    assert tiers.select("p_partkey").distinct().count() == t("part").count() and tiers.select("match").distinct().count() == t("supplier").count()
+
+
 def test_entry_imports():
     import __spark_entry__ as e
 
