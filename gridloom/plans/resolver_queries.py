@@ -89,8 +89,19 @@ def scan_repair(spark, sf_dir):
 c2 AS (SELECT cert, CASE WHEN cert % 2 = 0 THEN tag ELSE 'none' END AS tag, tail FROM c), u AS (SELECT tail, min(entity) AS entity FROM e GROUP BY tail HAVING count(*) = 1), t AS (SELECT cert, entity FROM c2 JOIN e USING (tag))
 SELECT cert, entity, 'tag' AS rule FROM t UNION ALL SELECT cert, entity, 'serial' FROM c2 JOIN u USING (tail) WHERE cert NOT IN (SELECT cert FROM t)""")
 def unique_fallback_match(spark, sf_dir):
+    """The certificates that its SQL names; unique_fallback_match_all has them all."""
+    return _certificates(spark, sf_dir, table(spark, sf_dir, "customer").where("c_custkey < 300"))
+
+
+@query("""WITH e AS (SELECT s_suppkey AS entity, s_name AS tag, right(lpad((s_suppkey % 40)::VARCHAR, 7, '0'), 7) AS tail FROM supplier), c AS (SELECT c_custkey AS cert, 'Supplier' || substr(c_name, 9) AS tag, right(c_name, 7) AS tail FROM customer),
+c2 AS (SELECT cert, CASE WHEN cert % 2 = 0 THEN tag ELSE 'none' END AS tag, tail FROM c), u AS (SELECT tail, min(entity) AS entity FROM e GROUP BY tail HAVING count(*) = 1), t AS (SELECT cert, entity FROM c2 JOIN e USING (tag))
+SELECT cert, entity, 'tag' AS rule FROM t UNION ALL SELECT cert, entity, 'serial' FROM c2 JOIN u USING (tail) WHERE cert NOT IN (SELECT cert FROM t)""")
+def unique_fallback_match_all(spark, sf_dir):
+    return _certificates(spark, sf_dir, table(spark, sf_dir, "customer"))
+
+
+def _certificates(spark, sf_dir, c):
     e = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("entity"), F.col("s_name").alias("tag"), F.concat(F.lit("SN-"), F.lpad((F.col("s_suppkey") % 40).cast("string"), 7, "0")).alias("serial"))
-    c = table(spark, sf_dir, "customer").where("c_custkey < 300")
     tag = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("Supplier"), F.substring("c_name", 9, 99))).otherwise("none")
     return resolvers.serial_match(c.select(F.col("c_custkey").alias("cert"), tag.alias("tag"), F.col("c_name").alias("serial")), e)
 
