@@ -19,6 +19,7 @@ import hashlib
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -77,6 +78,7 @@ _SIGNS = {**dict.fromkeys("‐‑‒–—―−﹣－", "-"), **dict.fromkeys("
 _NOTHING = frozenset("­​‌‍‎‏⁠﻿᠎")
 
 
+@lru_cache(1 << 16)
 def _fold(c: str) -> str:
     if c in _NOTHING:
         return ""
@@ -113,18 +115,20 @@ _LABEL = r"[A-Za-z0-9-]{1,63}"
 _SAID = re.compile(rf"(?i)(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]{{1,64}})([\x20]{{1,3}}(?:{_AT})[\x20]{{1,3}}|[\x20]{{0,3}}@[\x20]{{0,3}})({_LABEL}(?:(?:[\x20]{{1,3}}(?:{_DOT})[\x20]{{1,3}}|[\x20]\.[\x20]|\.){_LABEL})+)")
 _JOINED = re.compile(rf"(?i)[\x20]{{1,3}}(?:{_DOT})[\x20]{{1,3}}|[\x20]\.[\x20]")
 _SAID_DOT = re.compile(rf"(?i)(?<=[0-9])[\x20]{{1,3}}(?:{_DOT})[\x20]{{1,3}}(?=[0-9])")
-_WORTH = re.compile(rf"(?i)[(\[{{<][\x20]?(?:{_AT}|{_DOT}|@|\.)[\x20]?[)\]}}>]|[\x20](?:{_DOT}|arobase|arroba)[\x20]|[\x20]at[\x20]{_LABEL}\.|[\x20]@|@[\x20]|[0-9_.+-][\x20]at[\x20]|(?:(?<![^\W_])(?:{_WORD})[\x20,.()-]{{1,3}}){{3}}|\bplus[\x20](?:[0-9]|{_WORD})")
-_ODD = re.compile("[" + "".join(map(re.escape, [*_LOOKALIKES, *_SIGNS, *_NOTHING])) + r"！-～٠-٩۰-۹०-९০-৯๐-๙\U0001d400-\U0001d7ff①-⑳⁰-₉]")
+# what every match of _SAID holds
+_SAID_AT = re.compile(rf"(?i)@|[\x20](?:{_AT})[\x20]")
 
 
 class _Tape:
     """Rewritten text and, for each of its characters, the source characters [start, end) it stands for."""
 
     def __init__(self, text: str):
-        self.text, self.start, self.end = text, list(range(len(text))), list(range(1, len(text) + 1))
+        self.text, self.start, self.end = text, range(len(text)), range(1, len(text) + 1)
 
     def rewrite(self, edits: list[tuple[int, int, str]]) -> None:
         """Replaces [a, b) by at most one character each; edits in order."""
+        if not edits:
+            return
         out, start, end, done = [], [], [], 0
         for a, b, to in edits:
             out.append(self.text[done:a])
@@ -136,7 +140,7 @@ class _Tape:
                 end.append(self.end[b - 1])
             done = b
         out.append(self.text[done:])
-        self.start, self.end, self.text = start + self.start[done:], end + self.end[done:], "".join(out)
+        self.start, self.end, self.text = [*start, *self.start[done:]], [*end, *self.end[done:]], "".join(out)
 
 
 def _digit_edits(text: str) -> list[tuple[int, int, str]]:
@@ -164,11 +168,8 @@ def _digit_edits(text: str) -> list[tuple[int, int, str]]:
 
 def disguised(text: str) -> list[tuple[int, str, int]]:
     """(start, kind, end) in the source of identifiers that only the rewritten text shows."""
-    odd = not text.isascii() and _ODD.search(text) is not None
-    if not odd and not _WORTH.search(text):
-        return []
     tape = _Tape(text)
-    if odd:
+    if not text.isascii() and any(c > "\x7f" and _fold(c) != c for c in set(text)):
         tape.rewrite([(m.start(), m.end(), f) for m in re.finditer(r"[^\x00-\x7f]", text) if (f := _fold(m.group())) != m.group()])
     tape.rewrite([(m.start(), m.end(), "@" if m.group(1) else ".") for m in _BRACKET.finditer(tape.text)])
     if edits := _digit_edits(tape.text):
@@ -178,7 +179,7 @@ def disguised(text: str) -> list[tuple[int, str, int]]:
         tape.rewrite([(m.end() - 1, m.end(), "") for m in re.finditer(r"\+ (?=[0-9])", tape.text)])
     tape.rewrite([(m.start(), m.end(), ".") for m in _SAID_DOT.finditer(tape.text)])
     edits = []
-    for m in _SAID.finditer(tape.text):
+    for m in _SAID.finditer(tape.text) if _SAID_AT.search(tape.text) else ():
         sure = "@" in m.group(2) or _JOINED.search(m.group(3)) or re.search(r"[0-9._%+-]", m.group(1))
         if sure and m.group(2) + m.group(3) and (m.group(2) != "@" or _JOINED.search(m.group(3))):
             # what follows a plain @ and a full stop with spaces is the next sentence, not a label
@@ -187,6 +188,8 @@ def disguised(text: str) -> list[tuple[int, str, int]]:
             edits.append((*m.span(2), "@"))
             edits += [(j.start() + m.start(3), j.end() + m.start(3), ".") for j in _JOINED.finditer(m.group(3))]
     tape.rewrite(edits)
+    if tape.text is text:
+        return []
     found = []
     for s, kind, e in plain(tape.text):
         a, b = tape.start[s], tape.end[e - 1]

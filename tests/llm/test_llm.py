@@ -269,6 +269,12 @@ def test_disguises_map_back(t, kind, found):
     assert (kind, found) in [(k, t[a:b]) for a, k, b in more]
 
 
+@pytest.mark.parametrize(("t", "kind"), [("+1 202 555 01 two three", "phone"), ("+1 two 0 two 5 five 5 zero 1 four 2", "phone"), ("+1 202 555 one two three", "phone"), ("+௧ ௨௦௨ ௫௫௫ ௦௧௨௩", "phone"), ("૧૦.૨૦.૩૦.૪૦", "ip"), ("+១ ២០២ ៥៥៥ ០១២៣", "phone"), ("bob@mail . com", "email")])
+def test_no_gate_before_the_transducers(t, kind):
+    base, more = pii.spans(f"call {t}")
+    assert (kind, 5, 5 + len(t)) in [(k, a, b) for a, k, b in base + more]
+
+
 def test_prose_is_left_alone():
     for t in ("look at example.com", "un deux trois", "one of the six at nine", "see you at 10", None, ""):
         assert pii.spans(t) == ([], [])
