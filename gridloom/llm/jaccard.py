@@ -267,7 +267,7 @@ def near_groups(docs: DataFrame, k: int = K, t: tuple[int, int] = SIMILARITY) ->
         # components only grow: a bucket without such a pair now has none later
         rows = rows.join(met.select("token").distinct(), "token", "left_semi")
         if pairs.isEmpty():
-            break
+            continue  # the nearest may all be refused already and others not tried
         more, more_passed = verified(pairs, classes, docs, k, t)
         links, passed = links.unionByName(more), passed.unionByName(more_passed)
     label = keep(components(links))

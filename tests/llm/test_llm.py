@@ -126,6 +126,32 @@ def test_jaccard_against_all_pairs(spark, none, k, t):
     assert jaccard.near_groups(none, k, t).count() == 0
 
 
+def test_all_pairs_are_tried_where_the_nearest_were_refused(spark, monkeypatch):
+    real = jaccard._in_blocks
+
+    def nearest_tried(t, every):
+        """In the first pass the nearest of each bucket are a pair that the star has tried: documents 1 and 2."""
+        if every:
+            return real(t, True)
+
+        def blocks(batches):
+            for df in batches:
+                yield df[["token"]].drop_duplicates().assign(a=1, b=2)
+
+        return blocks
+
+    monkeypatch.setattr(jaccard, "_in_blocks", nearest_tried)
+    made, want = [], {}
+    for g in range(0, 80, 10):
+        lead = text(100, 60 + g).split()
+        changed = lambda at: " ".join({**dict(enumerate(lead)), **at}.values())  # noqa: B023, E731
+        # 3 and 4 are near each other, too far from 1, and share its buckets
+        made += [(g + 1, " ".join(lead)), (g + 2, changed({99: "last"})), (g + 3, changed({30: "x", 50: "y"})), (g + 4, changed({30: "x", 50: "z"}))]
+        want |= {g + 1: g + 1, g + 2: g + 1, g + 3: g + 3, g + 4: g + 3}
+    got = {r.doc_id: r.component_id for r in jaccard.near_groups(spark.createDataFrame(made, "doc_id long, text string"), 3, (90, 100)).collect()}
+    assert got == want
+
+
 def test_vectors_against_all_pairs(spark):
     g = np.random.default_rng(3)
     x = g.standard_normal((300, 64))
