@@ -7,6 +7,7 @@ read off a running sum, so no word costs a Python step.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -32,20 +33,64 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+#: Kept tables that are still there, with the Hadoop settings that open them.
+_kept: dict[str, object] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only where none is set, as in tests."""
+    """A new path in the shared folder the cluster names. Only where driver and executors are one process (local mode, as in tests) may there be none."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         top = tempfile.mkdtemp(prefix="gridloom-")
         spark.conf.set("spark.checkpoint.dir", top)
     return f"{top.rstrip('/')}/gridloom-{uuid.uuid4().hex}"
 
 
 def keep(df: DataFrame) -> DataFrame:
-    """df as a Parquet table in the shared folder: lineage ends there and every executor can read it."""
+    """df as a Parquet table in the shared folder: lineage ends there and every executor can read it. It lasts until release() or the program's end,
+    as results read it when they are asked for."""
     path = scratch_dir(df.sparkSession)
+    _kept[path] = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._kept_at = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Removes a kept table that nothing reads any more."""
+    _remove(df._kept_at, _kept.pop(df._kept_at, None))
+
+
+def _remove(path: str, conf: object) -> None:
+    from pyspark import SparkContext
+
+    if conf is not None:
+        to = SparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        to.getFileSystem(conf).delete(to, True)
+
+
+@atexit.register
+def _remove_all() -> None:
+    from py4j.protocol import Py4JError
+    from pyspark import SparkContext
+
+    if SparkContext._gateway is not None:
+        try:
+            for path, conf in list(_kept.items()):
+                _remove(path, conf)
+        except (Py4JError, OSError):
+            pass  # the JVM has gone before: the tables stay where they are
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """name, made longer until df has no such column."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
 
 
 def splitmix(x: np.ndarray) -> np.ndarray:

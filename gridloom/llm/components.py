@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import keep
+from gridloom.llm.common import keep, release
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -23,7 +23,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(least, "hi")
-        e = keep(small.where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).unionByName(small.select("hi", F.col("m").alias("lo"))).distinct())
+        old, e = e, keep(small.where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).unionByName(small.select("hi", F.col("m").alias("lo"))).distinct())
+        release(old)
         now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(30,0)"))).first())
         if now == seen or not now[0]:
             break

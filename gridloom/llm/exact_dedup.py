@@ -7,9 +7,9 @@ of any number of copies reaches the last step as at most SALTS rows. Members the
 alone where one digest has one content, by content where it has several.
 
 Null text counts as empty. A null id is an id like any other, and loses ties. Rows that repeat an id and a text
-are members like others: each counts in group_size, and all rows that carry the winner's id and text length
-have kept = true only once per id (rows cannot be told apart). An empty table gives an empty result. Other
-columns of the input are not looked at.
+are members like others: each counts in group_size, and every row that carries the winner's id has kept = true, as
+rows of one id cannot be told apart in the result; exact_dedup() keeps one of them, the longest. An empty table gives an empty
+result. Other columns of the input are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import keep
+from gridloom.llm.common import keep, unused
 
 #: Salts of a digest group.
 SALTS = 16
@@ -53,12 +53,20 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, all columns as they are. Of rows repeated with their id one stays."""
-    stay = keep(exact_groups(docs).where("kept").groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n")))
-    out = docs.join(stay.where("_n = 1"), docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
-    if not stay.where("_n > 1").isEmpty():
-        again = docs.join(stay.where("_n > 1"), docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi").withColumn("_norm", normalised(F.col("text")))
-        out = out.unionByName(again.dropDuplicates(["doc_id", "_norm"]).drop("_norm"))
+    """The rows of docs that stay, all columns as they are. Of rows repeated with their id one stays. An id that stands for several texts stays
+    with those of them that win."""
+    id_, n, kept, digest = (unused(docs, c) for c in ("_id", "_n", "_kept", "_digest"))
+    groups = keep(exact_groups(docs).select(F.col("doc_id").alias(id_), F.col("kept").alias(kept), F.col("text_sha256").alias(digest)))
+    ids = keep(groups.groupBy(id_).agg(F.count(F.lit(1)).alias(n), F.max(kept).alias(kept)).where(kept))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_))
+    out = docs.join(ids.where(F.col(n) == 1).select(id_), same, "left_semi")
+    several = ids.where(F.col(n) > 1).select(id_)
+    if not several.isEmpty():
+        again = docs.join(several, same, "left_semi").withColumn(digest, F.sha2(normalised(F.col("text")), 256))
+        won = groups.where(kept).select(id_, F.col(digest).alias(n)).distinct()
+        again = again.join(won, same & (F.col(digest) == F.col(n)), "left_semi")
+        longest = F.max_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), F.coalesce(F.length("text"), F.lit(0))).alias(kept)
+        out = out.unionByName(again.groupBy(F.col("doc_id").alias(id_), digest).agg(longest).select(f"{kept}.*"))
     return out
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from gridloom.llm.common import groups, keep, runs, shingle_set, small_batches, splitmix, word_hashes
+from gridloom.llm.common import groups, keep, runs, shingle_set, small_batches, splitmix, word_hashes, unused
 from gridloom.llm.components import components
 
 K, SIMILARITY = 5, (80, 100)
@@ -278,5 +278,6 @@ def near_groups(docs: DataFrame, k: int = K, t: tuple[int, int] = SIMILARITY) ->
 
 def near_dedup(docs: DataFrame, k: int = K, t: tuple[int, int] = SIMILARITY) -> DataFrame:
     """The rows of docs that stay, all columns as they are: of each component the row with the smallest id, and rows without an id."""
-    gone = near_groups(docs, k, t).where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_id"), "left_anti")
+    id_ = unused(docs, "_id")
+    gone = near_groups(docs, k, t).where("doc_id <> component_id").select(F.col("doc_id").alias(id_)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(id_), "left_anti")

@@ -220,12 +220,14 @@ def _scanned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for i, text in zip(df["doc_id"], df["text"], strict=True):
             base, more = spans(text)
             n = [sum(k == kind for _, k, _ in base) for kind in KINDS]
-            rows.append((i, *n, hashlib.sha256(_shown(base).encode()).hexdigest(), _shown(base + more), len(more)))
-        yield pd.DataFrame(rows, columns=["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"]).astype({"doc_id": "Int64"})
+            added = [sum(k == kind for _, k, _ in more) for kind in KINDS]
+            rows.append((i, *n, hashlib.sha256(_shown(base).encode()).hexdigest(), _shown(base + more), len(more), len(base) + len(more), *added))
+        yield pd.DataFrame(rows, columns=["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added", "n_spans", *(f"added_{k}" for k in KINDS)]).astype({"doc_id": "Int64"})
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added; a row for each row of docs (doc_id, text)."""
+    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (all), n_added, n_spans, and added_email to added_phone (spans that the
+    method adds); a row for each row of docs (doc_id, text)."""
     small_batches(docs.sparkSession)
-    out = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
+    out = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, n_spans long, added_email long, added_ip long, added_card long, added_phone long"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_scanned, out)
