@@ -70,7 +70,10 @@ def test_bpe_round_trip_and_stitching(docs, none, spark):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
     e = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    long = [(100, "é  x's\n\n" * 20_000), (101, "a" * 70_000), (102, " " * 40_000 + "b"), (103, text(30_000, 3)), (103, text(30_000, 3))]
+    r = random.Random(4)
+    control = "".join(r.choice(["a", "é", "1", " ", "\x1c", "\x85", "\n", "\u200b", "\u3000", "'s", "-", "\x00", "\U0001f600"]) for _ in range(90_000))
+    digits = text(20_000, 6) + " " + "1234567890" * 12_000 + " " + text(20_000, 7)
+    long = [(100, "é  x's\n\n" * 20_000), (101, "a" * 70_000), (102, " " * 40_000 + "b"), (103, text(30_000, 3)), (103, text(30_000, 3)), (104, control), (105, digits), (106, "日本語、" * 30_000), (107, "1" * 32_768), (108, "1" * 32_769), (109, "\n \n" * 30_000)]
     all_ = docs.select("doc_id", "text").unionByName(spark.createDataFrame(long, "doc_id long, text string"))
     out = bpe.encode(all_, path, public_tokenizers.PATTERN).collect()
     assert len(out) == len(DOCS) + len(long)
@@ -82,6 +85,18 @@ def test_bpe_round_trip_and_stitching(docs, none, spark):
     assert bpe.encode(none, path, public_tokenizers.PATTERN).count() == 0
 
 
+def test_chunks_resynchronise():
+    r = random.Random(9)
+    for t in ("".join(r.choice("ab1 \n.'s-") for _ in range(6000)), text(1500, 5), "ab12" * 1500):
+        whole = set(bpe.boundaries(t, public_tokenizers.PATTERN).tolist())
+        for cut in range(1000, 4000, 7):
+            before = bpe.boundaries(t[: cut + 300], public_tokenizers.PATTERN)
+            after = bpe.boundaries(t[cut : cut + 2000], public_tokenizers.PATTERN) + cut
+            at = bpe.agreement(before[before >= cut], after[after < cut + 300])
+            assert at in whole  # found, and a boundary of the whole text
+    assert bpe.agreement(np.arange(0, 300, 3), np.arange(1, 300, 3)) is None
+
+
 def brute_components(sets, num, den):
     root = {i: i for i in sets}
 
