@@ -1,19 +1,22 @@
 """Quality classifier by importance resampling.
 
 Two generative models over hashed n-grams, one of target text (rows labelled good) and one of the raw text
-(all documents), give each document a log importance weight; documents are then resampled without
-replacement by Gumbel top-k: the k greatest of weight / TEMPERATURE + Gumbel noise. N-grams are byte
-trigrams and, so that repetition and shouting show whatever the word, pairs of word shapes (class of first and
-last byte, length, same as the word before or the one before that). The weight is the mean over a document's
-n-grams (and FEW of weight 0), so long texts are not favoured. k is the number of documents whose weight is at least the cut that
-best separates a bounded sample of labelled rows, so junk of any share is rejected and clean text stays.
-
-The raw model counts every n-gram of every document. The target model is fitted on at most MAX_LABELLED
+(all documents), give each document an importance weight; documents are then resampled without
+replacement by Gumbel top-k. N-grams are byte trigrams and, so that repetition and shouting show whatever the word, pairs of word
+shapes (class of first and last byte, length, same as the word before or the one before that). A document's weight is the mean log
+ratio over its n-grams (and FEW of weight 0), so long texts are not favoured.
+
+What a weight is worth is learned from the labelled rows: a logistic curve gives the log odds that a document is target text. The sample's
+size k follows from it: the target text that all documents are expected to hold, which is the sum of these probabilities. The
+key of a document is its log odds plus standard Gumbel noise (temperature 1), and the k greatest keys are accepted: what is surely
+junk or surely clean lies further from the k-th key than noise reaches, what lies between is sampled in proportion to its odds.
+
+The raw model counts every n-gram of every document. The target model and the curve are fitted on at most MAX_LABELLED
 labelled rows (those with the smallest id hashes). Noise is a hash of the id: reruns agree.
 
 Null and empty texts have no n-grams and weight 0 like text of unknown quality. Null ids are hashed as null.
-Rows that repeat get the same weight and noise; ties at the k-th place go by id. Without usable labels (none, or of one
-kind only) everything is accepted. An empty table gives an empty result. Extra columns are not looked at.
+Rows that repeat get the same weight and noise, and rows that tie with the k-th key are accepted with it. Without usable labels (none, or of one
+kind only) everything is accepted. An empty table gives an empty result. Extra columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,12 +28,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import groups, keep, small_batches, splitmix, word_hashes
+from gridloom.llm.common import groups, keep, small_batches, splitmix, unused, word_hashes
 
 BUCKETS = 1 << 15
 MAX_LABELLED = 20_000
-#: Weights are means; noise of this scale reorders only documents about as good.
-TEMPERATURE = 0.005
+#: Ridge of the logistic curve, in labelled rows: labels that part cleanly would make it infinitely steep.
+RIDGE = 1.0
 #: N-grams that each text is taken to have besides its own, of weight 0: a few words say little.
 FEW = 150
 
@@ -93,14 +96,18 @@ def _weigher(ratio: np.ndarray):
     return weighed
 
 
-def best_cut(weight: np.ndarray, good: np.ndarray) -> float:
-    """The cut with the greatest sum of good kept and bad rejected, as shares: the lowest of those within 0.002 of it."""
-    order = np.argsort(weight)
-    w, g = weight[order], good[order].astype(float)
-    both = 1 - np.concatenate([[0.0], np.cumsum(g)]) / g.sum() + np.concatenate([[0.0], np.cumsum(1 - g)]) / (1 - g).sum()
-    both = np.where(np.concatenate([[True], w[1:] > w[:-1], [True]]), both, -1)
-    j = int(np.argmax(both >= both.max() - 0.002))
-    return float("-inf") if j == 0 else float("inf") if j == len(w) else float((w[j - 1] + w[j]) / 2)
+def curve(weight: np.ndarray, good: np.ndarray) -> tuple[float, float]:
+    """Intercept and slope of the log odds of good by weight, by Newton steps. The weights are scaled first, so RIDGE means the same for any."""
+    mean, spread = weight.mean(), max(weight.std(), 1e-12)
+    x = np.stack([np.ones_like(weight), (weight - mean) / spread], 1)
+    b = np.zeros(2)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(2), x.T @ (good - p) - RIDGE * b)
+        b = b + np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-9:
+            break
+    return float(b[0] - b[1] * mean / spread), float(b[1] / spread)
 
 
 def kth_key(rows: DataFrame, k: int, bins: int = 4096) -> float:
@@ -123,7 +130,7 @@ def kth_key(rows: DataFrame, k: int, bins: int = 4096) -> float:
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, weight, key, accepted; a row for each row of docs. labels: (doc_id, quality 0 or 1)."""
+    """doc_id, weight, log_odds, key, accepted; a row for each row of docs. labels: (doc_id, quality 0 or 1)."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     some = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
@@ -139,17 +146,20 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ratio = np.log((good + 50 * BUCKETS * prior / 10) / (good.sum() + 5 * BUCKETS)) - np.log(prior) if usable else np.zeros(BUCKETS)
     weigh = _weigher(ratio)
     noise = -F.log(-F.log((F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 40)) + 0.5) / float(1 << 40)))
-    rows = keep(with_label.mapInPandas(weigh, "doc_id long, weight double, quality int").withColumn("key", F.col("weight") / TEMPERATURE + noise))
+    rows = keep(with_label.mapInPandas(weigh, "doc_id long, weight double, quality int"))
     if not usable:
-        return rows.select("doc_id", "weight", "key", F.lit(True).alias("accepted"))
-    told = rows.where("quality >= 0").select("weight", "quality").limit(4 * MAX_LABELLED).toPandas()
-    cut = best_cut(told["weight"].to_numpy(), told["quality"].to_numpy() == 1)
-    k = rows.where(F.col("weight") >= cut).count()
+        return rows.select("doc_id", "weight", F.lit(0.0).alias("log_odds"), noise.alias("key"), F.lit(True).alias("accepted"))
+    # one row an id, so no more than MAX_LABELLED
+    told = rows.where("quality >= 0").groupBy("doc_id").agg(F.avg("weight").alias("weight"), F.max("quality").alias("quality")).orderBy("doc_id").toPandas()
+    b0, b1 = curve(told["weight"].to_numpy(), told["quality"].to_numpy().astype(float))
+    rows = rows.withColumn("log_odds", F.lit(b0) + F.lit(b1) * F.col("weight")).withColumn("key", F.col("log_odds") + noise)
+    k = round(rows.agg(F.sum(1 / (1 + F.exp(-F.col("log_odds"))))).first()[0] or 0)
     at = kth_key(rows, k) if k else float("inf")
-    return rows.select("doc_id", "weight", "key", (F.col("key") >= at).alias("accepted"))
+    return rows.select("doc_id", "weight", "log_odds", "key", (F.col("key") >= at).alias("accepted"))
 
 
 def accepted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that the classifier accepts, all columns as they are; rows that repeat share their fate."""
-    gone = classify(docs, labels).where("NOT accepted").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    id_ = unused(docs, "_id")
+    gone = classify(docs, labels).where("NOT accepted").select(F.col("doc_id").alias(id_)).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col(id_)), "left_anti")
