@@ -33,7 +33,7 @@ from gridloom.llm.common import groups, keep, small_batches, splitmix, unused, w
 BUCKETS = 1 << 15
 MAX_LABELLED = 20_000
 #: Ridge of the logistic curve, in labelled rows: labels that part cleanly would make it infinitely steep.
-RIDGE = 1.0
+RIDGE = 0.01
 #: N-grams that each text is taken to have besides its own, of weight 0: a few words say little.
 FEW = 150
 
@@ -53,16 +53,25 @@ def ngrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     at = np.concatenate([[0], np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))])
     x = buf.astype(np.uint64)
     tri = x[:-2] | (x[1:-1] << np.uint64(8)) | (x[2:] << np.uint64(16)) if len(x) > 2 else x[:0]
-    tri_first = np.minimum(at, len(tri))
+    # none of them reaches over the end of its text, nor does any pair of words
+    inside = np.ones(len(x), bool)
+    for back in (1, 2, 3):
+        ends = at[1:] - back
+        inside[ends[ends >= 0]] = False
+    tri = tri[inside[: len(tri)]]
+    tri_first = np.concatenate([[0], np.cumsum(np.maximum(0, np.diff(at) - 3))])
     base = np.repeat(at[:-1], np.diff(first))
     n = len(h)
+    starts = np.unique(first[:-1][np.diff(first) > 0])
     same1, same2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
     same1[1:] = h[1:] == h[:-1]
     same2[2:] = h[2:] == h[:-2]
+    same1[starts] = same2[starts] = same2[np.minimum(starts + 1, n - 1)] = 0
     shape = ((_CLASS[buf[base + start]] * 32 + _CLASS[buf[base + end - 1]]) * 8 + np.minimum(7, np.log2(np.maximum(1, end - start)).astype(np.int64))) * 4 + same1 * 2 + same2
     shape = shape.astype(np.uint64) | np.uint64(1 << 40)
     pair = shape.copy()
     pair[1:] = shape[1:] * np.uint64(1 << 20) + shape[:-1]
+    pair[starts] = shape[starts]
     # trigrams and shape pairs of one text together: order is free, so both streams are cut per text
     both = np.concatenate([splitmix(tri), splitmix(pair)]) & np.uint64(BUCKETS - 1)
     order = np.argsort(np.concatenate([np.repeat(np.arange(len(texts)), np.diff(tri_first)), np.repeat(np.arange(len(texts)), np.diff(first))]), kind="stable")

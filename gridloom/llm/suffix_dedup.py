@@ -9,8 +9,12 @@ which another kept suffix would lie. Chains of at least MIN_WORDS words stay; ea
 
 Every passage of MIN_WORDS words has a kept suffix among its first WINDOW words with at least SEED words of the passage after
 it, so it is in one bucket with its copies, and meets one of them however many the bucket holds. Large buckets are salted by document; the firsts of the salts meet once more.
-(A text that repeats a few words over and over matches itself at the distance of kept suffixes, so of a periodic run the first WINDOW words or so
-count as its first occurrence.)
+Ties between equal hashes go to the first place in the window, so that copies of a passage keep the same suffixes wherever they stand. A run that repeats
+PERIOD words or fewer over and over would keep one at every repetition: in its middle none is kept, as whatever stands there stands at its
+beginning too, and the run is reported as a match with itself, one repetition further on.
+
+Hot seeds are those of more suffixes than a HOT-th of all; so there are no more than HOT of them, they are broadcast, and their
+suffixes are dealt by salt and surroundings and never by seed alone. Texts to be looked up are joined by broadcast while the ids and places number BROADCAST at most, beyond it by shuffle.
 
 Words are runs without space and 0x09-0x0D and are compared by 64-bit hashes of their bytes, case included. Null and empty texts have no words. Rows
 without an id are left out. Rows that repeat id and text are one document; two texts of one id are taken as one document's. An
@@ -38,21 +42,43 @@ SIDE = MIN_WORDS - SEED
 NEIGHBOURS = 3
 #: Suffixes of a bucket that one salt gets.
 SALTED = 2000
-#: Ids that are broadcast rather than shuffled to pick out texts.
-BROADCAST_IDS = 1_000_000
+#: A seed is hot that has more than this share of all suffixes.
+HOT = 10_000
+#: Ids and places (eight bytes each or less) that are broadcast rather than shuffled to pick out texts.
+BROADCAST = 2_000_000
+#: Runs that repeat this many words or fewer keep suffixes at their ends only.
+PERIOD = 8
 
 
 def _least(g: np.ndarray) -> np.ndarray:
-    """Of every WINDOW neighbours the position of the least; in runs of equal hashes few different ones."""
+    """Of every WINDOW neighbours the position of the least, the first one if several are."""
     if len(g) < WINDOW:
         return np.zeros(0, np.int64)
-    key = (g & ~np.uint64(15)) | (np.arange(len(g), dtype=np.uint64) & np.uint64(15))
-    return np.lib.stride_tricks.sliding_window_view(key, WINDOW).argmin(1) + np.arange(len(g) - WINDOW + 1)
+    return np.lib.stride_tricks.sliding_window_view(g, WINDOW).argmin(1) + np.arange(len(g) - WINDOW + 1)
+
+
+def periodic(g: np.ndarray) -> list[tuple[int, int, int]]:
+    """(period, start, end) of the stretches of words, longer than MIN_WORDS and a period, in which every word is the one `period` words before
+    (from start + period on); the least period of each. g: the hash of each GRAM words."""
+    out: list[tuple[int, int, int]] = []
+    for p in range(1, PERIOD + 1):
+        if len(g) <= p:
+            break
+        same = np.concatenate([[False], g[p:] == g[:-p], [False]])
+        edge = np.flatnonzero(same[1:] != same[:-1])
+        for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+            a, b = a, b + GRAM - 1 + p
+            if b - a >= MIN_WORDS + p and not any(p % q == 0 and s <= a and b <= e for q, s, e in out):
+                out.append((p, a, b))
+    return out
 
 
-def minimisers(g: np.ndarray) -> np.ndarray:
-    """Positions of the least of every WINDOW neighbours; in runs of equal hashes no more than needed."""
-    return np.unique(_least(g))
+def kept_suffixes(g: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Positions of the least of every WINDOW neighbours, without those amid periodic runs; and these runs."""
+    at, runs_ = np.unique(_least(g)), periodic(g)
+    for _, a, b in runs_:
+        at = at[(at < a + 2 * WINDOW) | (at >= b - MIN_WORDS)]
+    return at, runs_
 
 
 def _long_runs(h: np.ndarray, k: int, n: int) -> np.ndarray:
@@ -68,24 +94,32 @@ def _long_runs(h: np.ndarray, k: int, n: int) -> np.ndarray:
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Kept suffixes (period 0); and of periodic runs places, a seed's length apart, that match those a period before (period > 0)."""
     gap = np.zeros(SIDE, np.uint64)  # stands for the words that a text lacks beside a seed
     for batch in batches:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
         for at, texts in groups(batch.column("text").cast(pa.binary()).to_pylist()):
             h, _, _, first = word_hashes(texts, lower=False)
             seed, gram = runs(h, SEED), runs(h, GRAM)
-            doc, pos, bucket, around = [], [], [], []
+            doc, pos, bucket, around, period = [], [], [], [], []
             for j, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
                 if b - a < MIN_WORDS:
                     continue
-                p = minimisers(gram[a : b - GRAM + 1])
+                p, repeats = kept_suffixes(gram[a : b - GRAM + 1])
                 p = p[p <= b - a - SEED]
-                doc.append(np.full(len(p), ids[at + j]))
                 pos.append(p)
                 bucket.append(seed[a + p])
                 around.append(_long_runs(np.concatenate([gap, h[a:b], gap]), (SEED + 2 * SIDE) // 3, 3)[p])
+                period.append(np.zeros(len(p), np.int32))
+                for of, start, end in repeats:
+                    p = np.append(np.arange(start + of, end - SEED, SEED), end - SEED)
+                    pos.append(p)
+                    bucket.append(np.zeros(len(p), np.uint64))
+                    around.append(np.zeros(len(p), np.uint64))
+                    period.append(np.full(len(p), of, np.int32))
+                doc.append(np.full(sum(map(len, pos)) - sum(map(len, doc)), ids[at + j]))
             if doc:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(bucket).view(np.int64)), pa.array(np.concatenate(doc).astype(np.int64)), pa.array(np.concatenate(pos).astype(np.int32)), pa.array(np.concatenate(around).view(np.int64))], names=["seed", "doc", "pos", "around"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(bucket).view(np.int64)), pa.array(np.concatenate(doc).astype(np.int64)), pa.array(np.concatenate(pos).astype(np.int32)), pa.array(np.concatenate(around).view(np.int64)), pa.array(np.concatenate(period))], names=["seed", "doc", "pos", "around", "period"])
 
 
 def _passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -150,11 +184,15 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     (in a document with a smaller id, or further up in the same), merged where they touch, with the documents they were matched with."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
-    suffixes = docs.mapInArrow(_anchors, "seed long, doc long, pos int, around long")
-    many = suffixes.groupBy("seed").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    every = keep(docs.mapInArrow(_anchors, "seed long, doc long, pos int, around long, period int"))
+    suffixes, repeats = every.where("period = 0").drop("period"), every.where("period > 0")
+    many = keep(suffixes.groupBy("seed").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
+    hot = many.where(F.col("c") > max(SALTED, suffixes.count() // HOT))  # no more than HOT rows
     # of a small bucket -1; 0 where one salt holds the bucket
     salt = F.when(F.col("c") <= NEIGHBOURS + 1, -1).when(F.col("c") <= SALTED, 0).otherwise(F.pmod(F.xxhash64("doc"), F.ceil(F.col("c") / SALTED)) + 1).cast("int")
-    kept = keep(suffixes.join(many, "seed").select("seed", "doc", "pos", "around", salt.alias("salt")))
+    told = suffixes.join(F.broadcast(hot.withColumnRenamed("c", "c_hot")), "seed", "left")
+    told = told.where("c_hot IS NULL").drop("c_hot").join(many, "seed").unionByName(told.where("c_hot IS NOT NULL").withColumnRenamed("c_hot", "c"))
+    kept = keep(told.select("seed", "doc", "pos", "around", salt.alias("salt")))
     before = F.struct("doc", "pos")
     neighbours = lambda df, w, n=1: df.select("doc", "pos", F.array(*(F.lag(before, k).over(w.orderBy("doc", "pos")) for k in range(1, n + 1))).alias("prevs")).select("doc", "pos", F.explode("prevs").alias("prev"))
 
@@ -166,18 +204,19 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     large = kept.where("salt >= 0")
     kinds = large.groupBy("seed", "around").agg(F.min(F.struct("doc", "pos", "salt")).alias("f")).select("f.doc", "f.pos", "f.salt")
     kinds = keep(kinds.groupBy(F.col("doc").alias("id")).agg(F.collect_list(F.struct("pos", "salt")).alias("x")).select("id", F.col("x.pos").alias("at"), F.col("x.salt").alias("salts")))
-    few = kinds.count() <= BROADCAST_IDS // 10
+    few = (kinds.agg(F.sum(F.size("at") + F.size("salts") + 2)).first()[0] or 0) <= BROADCAST
     passages = docs.join(F.broadcast(kinds) if few else kinds, docs["doc_id"] == kinds["id"]).select("doc_id", "text", "at", "salts")
     passages = keep(passages.mapInPandas(_passages, "key long, salt int, doc long, pos int"))
     near = neighbours(kept.where("salt < 0"), W.partitionBy("seed"), NEIGHBOURS)
     pairs = near.unionByName(alike(large, "seed", "around")).unionByName(alike(passages, "key")).where("prev IS NOT NULL")
     lo, hi = F.least(before, F.col("prev")), F.greatest(before, F.col("prev"))
     pairs = pairs.select(lo.alias("a"), hi.alias("b")).where("a <> b").select(F.col("b.doc").alias("doc"), F.col("a.doc").alias("other"), (F.col("b.pos") - F.col("a.pos")).alias("diag"), F.col("b.pos").alias("at"))
+    pairs = pairs.unionByName(repeats.select("doc", F.col("doc").alias("other"), F.col("period").alias("diag"), F.col("pos").alias("at")))
     chains = keep(pairs.groupBy("doc", "other", "diag").agg(F.collect_set("at").alias("at")).mapInPandas(_chains, "doc long, other long, diag int, start int, end int"))
     ends = chains.withColumn("side", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("at_b", F.when(F.col("side") == 0, F.col("start")).otherwise(F.col("end"))).withColumn("at_a", F.col("at_b") - F.col("diag"))
     places = ends.select("doc", F.col("at_b").alias("at"), "side").unionByName(ends.select(F.col("other").alias("doc"), F.col("at_a").alias("at"), "side"))
     places = keep(places.groupBy(F.col("doc").alias("id")).agg(F.collect_set(F.when(F.col("side") == 0, F.col("at"))).alias("lefts"), F.collect_set(F.when(F.col("side") == 1, F.col("at"))).alias("rights")))
-    few = places.count() <= BROADCAST_IDS // 10
+    few = (places.agg(F.sum(F.size("lefts") + F.size("rights") + 2)).first()[0] or 0) <= BROADCAST
     words = docs.join(F.broadcast(places) if few else places, docs["doc_id"] == places["id"]).select("doc_id", "text", "lefts", "rights")
     words = keep(words.mapInPandas(_contexts, "doc long, at int, side int, words binary").dropDuplicates(["doc", "at", "side"]))
     sides = ends.join(words.select("doc", F.col("at").alias("at_b"), "side", F.col("words").alias("words_b")), ["doc", "at_b", "side"])

@@ -109,11 +109,17 @@ def segments(s: np.ndarray) -> list[tuple[int, int, float]]:
     return [(int(a), int(b), float(y - x)) for a, b, x, y, _ in stack]
 
 
-def evidence(s: np.ndarray, lam: float, k: float) -> tuple[float, int]:
-    """Sum over segments of -ln(p), p their chance among n words of other text, while p < 0.5; and how many have E < 1."""
+def evidence(s: np.ndarray, lam: float, k: float) -> float:
+    """Sum over segments of -ln(p), p their chance among n words of other text, while p < 0.5."""
     base = math.log(k * max(1, len(s)))
     found = [lam * x - base for _, _, x in segments(s)] if len(s) else []
-    return sum(-math.log(-math.expm1(-math.exp(-x))) if x < 30 else x for x in found if x > -0.3), sum(x > 0 for x in found)
+    return sum(-math.log(-math.expm1(-math.exp(-x))) if x < 30 else x for x in found if x > -0.3)
+
+
+def passages(s: np.ndarray, lam: float, k: float) -> list[tuple[int, int]]:
+    """The significant segments: those of which fewer than one is expected in as much other text."""
+    base = math.log(k * max(1, len(s)))
+    return [(a, b) for a, b, x in segments(s) if lam * x > base] if len(s) else []
 
 
 def _once(w: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -127,13 +133,14 @@ def _once(w: np.ndarray, first: np.ndarray) -> np.ndarray:
 def _scorer(score: np.ndarray, lam: float, k: float):
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in batches:
-            x, n = np.zeros(len(df)), np.zeros(len(df), np.int64)
+            x, found = np.zeros(len(df)), [[]] * len(df)
             for i, texts in groups(df["text"]):
                 w, first = _words(texts)
                 s = np.where(_once(w, first), score[w], np.minimum(0, score[w]))
                 for j in range(len(texts)):
-                    x[i + j], n[i + j] = evidence(s[first[j] : first[j + 1]], lam, k)
-            yield pd.DataFrame({"doc_id": df["doc_id"].astype("Int64"), "toxic": df["toxic"], "evidence": x, "passages": n})
+                    x[i + j] = evidence(s[first[j] : first[j + 1]], lam, k)
+                    found[i + j] = passages(score[w[first[j] : first[j + 1]]], lam, k)
+            yield pd.DataFrame({"doc_id": df["doc_id"].astype("Int64"), "toxic": df["toxic"], "evidence": x, "passages": [len(f) for f in found], "spans": [",".join(f"{a}:{b}" for a, b in f) for f in found]})
 
     return scored
 
@@ -152,7 +159,10 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted, passages; a row for each row of docs. labels: (doc_id, toxic 0 or 1)."""
+    """doc_id, held_out, score, predicted, passages, spans; a row for each row of docs. labels: (doc_id, toxic 0 or 1).
+
+    spans: the significant passages as start:end, counted in words, end exclusive. They are found in the text as it stands, repetitions included; for the
+    score a word counts for toxic at its first occurrence only."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     train = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -162,9 +172,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     every, toxic, other = (np.zeros(BUCKETS) for _ in range(3))
     for b, n, t, o in rows.mapInPandas(_counted, "bucket int, n long, toxic long, other long").groupBy("bucket").agg(F.sum("n"), F.sum("toxic"), F.sum("other")).collect():
         every[b], toxic[b], other[b] = n, t, o  # at most BUCKETS rows
-    out = "doc_id long, toxic int, evidence double, passages long"
+    out = "doc_id long, toxic int, evidence double, passages long, spans string"
     if toxic.sum() == 0 or other.sum() == 0:
-        return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.lit(0).cast("long").alias("passages"))
+        return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.lit(0).cast("long").alias("passages"), F.lit("").alias("spans"))
     score = log_odds(every, toxic, other)
     p = other / other.sum()
     score = score - DRIFT - max(0.0, (p * score).sum())
@@ -175,4 +185,4 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     b0, b1 = logistic(np.log1p(told["evidence"].to_numpy()), told["toxic"].to_numpy().astype(float))
     final = rows.withColumn("toxic", F.lit(-1)).mapInPandas(scored, out)
     prob = 1 / (1 + F.exp(-(F.lit(b0) + F.lit(b1) * F.log1p("evidence"))))
-    return final.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), prob.alias("score"), "passages").select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "passages")
+    return final.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), prob.alias("score"), "passages", "spans").select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "passages", "spans")

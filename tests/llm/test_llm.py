@@ -221,19 +221,47 @@ def test_passages_about_a_common_line_are_those_of_all_windows(spark, monkeypatc
                 around = text(8, 100_000 + 1000 * k + i).split()
                 made.append((at, " ".join([text(30, 200_000 + at), *around[:i], line, *around[i:], text(30, 300_000 + at)])))
         made += [(1000 * k + i, f"{text(30, 400_000 + 1000 * k + i)} {line} {text(30, 500_000 + 1000 * k + i)}") for i in range(100, 300)]
-    r = random.Random(8)
-    r.shuffle(made)
+    random.Random(8).shuffle(made)
+    want = repeated_by_windows(made)
+    assert len(want) >= 27
+    assert covered(spark, made) == want
+
+
+def repeated_by_windows(made):
+    """Words of each document in a window of 50 that stood somewhere before."""
     seen, want = {}, {}
-    for i, t in sorted(made):
+    for i, t in sorted((i, t) for i, t in made if i is not None and t):
         w = t.split()
         for j in range(len(w) - 49):
             if seen.setdefault(tuple(w[j : j + 50]), (i, j)) != (i, j):
                 want.setdefault(i, set()).update(range(j, j + 50))
-    assert len(want) >= 27
+    return want
+
+
+def covered(spark, made):
     got = {}
     for x in suffix_dedup.repeated_passages(spark.createDataFrame(made, "doc_id long, text string")).collect():
         got.setdefault(x.doc_id, set()).update(range(x.start_word, x.end_word))
-    assert got == want
+    return got
+
+
+def test_passages_of_every_length_in_many_documents(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SALTED", 50)
+    monkeypatch.setattr(suffix_dedup, "HOT", 100)  # some seeds are hot
+    made = []
+    for k, n in enumerate((50, 52, 55, 60, 65, 69)):
+        passage = text(n, 700 + k)
+        made += [(1000 * k + i, f"{text(i % 40, 10_000 * k + i)} {passage} {text(30, 20_000 * k + 90_000 + i)}") for i in range(100)]
+    random.Random(1).shuffle(made)
+    assert covered(spark, made) == repeated_by_windows(made)
+
+
+def test_periodic_and_odd_texts(spark):
+    r = random.Random(12)
+    made = [(1, "a " * 400), (2, "b c " * 90), (3, text(70, 1) + " a" * 130 + " " + text(70, 2)), (4, "a " * 49 + text(40, 3)), (5, "c b " * 120), (6, " ".join(r.choice("xy") for _ in range(3000))), (7, ("p q r s t u v w " * 20) + text(60, 2)), (8, ("a b c d e f g h i j k l " * 30)), (9, None), (10, ""), (None, "a " * 100), (11, "d " * 51), (12, "d " * 50), (13, "x y x x " * 100), (14, text(70, 1) + " a" * 90 + " " + text(70, 2)), (15, text(30_000, 44) + " " + text(60, 2))]
+    made += [(20, text(80, 5)), (20, text(80, 5))]  # one document twice
+    want = repeated_by_windows([m for i, m in enumerate(made) if m not in made[:i]])
+    assert covered(spark, made) == want
 
 
 def test_mix(docs, none):
@@ -276,6 +304,72 @@ def test_quality_and_toxicity_learn(spark, none):
     assert toxicity.toxicity(all_, labels.limit(0)).where("predicted = 1").count() == 0
 
 
+def test_quality_against_plain_loops(spark, monkeypatch):
+    """Counts, ratios, curve, noise and the k greatest keys, a document at a time."""
+    import math
+    import struct
+
+    import xxhash
+
+    made = [(i, text(30 + i % 50, i)) for i in range(120)] + [(500 + i, "BUY NOW !!! " * (10 + i)) for i in range(40)] + [(900, None), (901, ""), (902, "?"), (None, text(20, 7)), (903, text(50, 1)), (903, "BUY NOW !!! ")]
+    told = {**{i: 1 for i in range(0, 120, 2)}, **{500 + i: 0 for i in range(0, 40, 2)}}
+    got = sorted((tuple(r) for r in quality.classify(spark.createDataFrame(made, "doc_id long, text string"), spark.createDataFrame(list(told.items()), "doc_id long, quality int")).collect()), key=repr)
+    grams = [quality.ngrams([(t or "").encode()])[0].tolist() for _, t in made]
+    raw, good = [0] * quality.BUCKETS, [0] * quality.BUCKETS
+    for (i, _), g in zip(made, grams, strict=True):
+        for b in g:
+            raw[b] += 1
+            good[b] += told.get(i) == 1
+    n_raw, n_good, n = sum(raw), sum(good), quality.BUCKETS
+    prior = [(x + 1) / (n_raw + n) for x in raw]
+    ratio = [math.log((g + 5 * n * p) / (n_good + 5 * n)) - math.log(p) for g, p in zip(good, prior, strict=True)]
+    weight = [sum(ratio[b] for b in g) / (quality.FEW + len(g)) for g in grams]
+    known = sorted((i, w) for (i, _), w in zip(made, weight, strict=True) if i in told)
+    b0, b1 = quality.curve(np.array([w for _, w in known]), np.array([float(told[i]) for i, _ in known]))
+
+    def noise(i):
+        h = xxhash.xxh64_intdigest(struct.pack("<i", 11), 42)
+        h = h if i is None else xxhash.xxh64_intdigest(struct.pack("<q", i), h)
+        return -math.log(-math.log((h % (1 << 40) + 0.5) / (1 << 40)))
+
+    odds = [b0 + b1 * w for w in weight]
+    keys = [o + noise(i) for (i, _), o in zip(made, odds, strict=True)]
+    k = round(sum(1 / (1 + math.exp(-o)) for o in odds))
+    at = sorted(keys, reverse=True)[k - 1]
+    want = sorted(((i, w, o, x, x >= at) for (i, _), w, o, x in zip(made, weight, odds, keys, strict=True)), key=repr)
+    assert [(r[0], r[4]) for r in got] == [(r[0], r[4]) for r in want]
+    assert np.allclose([r[1:4] for r in got], [r[1:4] for r in want])
+
+
+def test_quality_and_toxicity_on_rows_held_out(spark):
+    """Labels of a fifth of the rows are hidden; the classifiers are judged by them."""
+    from pyspark.sql import functions as F
+
+    data = "/root/testdata/sf0.1"
+    if not os.path.isdir(data):
+        pytest.skip("no test tables here")
+    docs, labels = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet")
+    hidden = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    got = quality.classify(docs, labels.where(~hidden)).join(labels.where(hidden), "doc_id").collect()
+    good, bad = [r.accepted for r in got if r.quality == 1], [r.accepted for r in got if r.quality == 0]
+    assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.1 * len(bad) and len(good) > 50 and bad
+    got = toxicity.toxicity(docs, labels).where("held_out").join(labels, "doc_id").collect()
+    assert sum(r.predicted == r.toxic for r in got) >= 0.95 * len(got)
+
+
+def test_exact_dedup_of_ids_with_several_texts(spark):
+    from pyspark.sql import functions as F
+
+    made = [(0, "other  text"), (1, "a b c"), (1, "other text"), (2, "a b c"), (3, "ab  c"), (3, "a b c "), (None, "n"), (None, "n "), (4, "z"), (4, "z"), (4, "z  ")]
+    d = spark.createDataFrame(made, "doc_id long, text string").withColumn("_id", F.lit(1)).withColumn("_N", F.lit(1)).withColumn("_kept", F.lit(1)).withColumn("_digest", F.lit("d"))
+    got = exact_dedup.exact_dedup(d)
+    assert got.columns == d.columns
+    assert sorted(((r[0], r[1]) for r in got.collect()), key=repr) == sorted([(0, "other  text"), (3, "a b c "), (None, "n "), (4, "z  ")], key=repr)
+    assert jaccard.near_dedup(d).columns == d.columns
+    labels = spark.createDataFrame([(0, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    assert quality.accepted_documents(d, labels).columns == d.columns
+
+
 def test_segments_are_those_of_brute_force():
     for seed in range(200):
         r = np.random.default_rng(seed)
@@ -288,6 +382,36 @@ def test_segments_are_those_of_brute_force():
         assert all(b <= c for (_, b, _), (c, _, _) in zip(got[:-1], got[1:], strict=True))
 
 
+def maximal_by_definition(s):
+    """Ruzzo and Tompa: the greatest segment (the first, shortest of equals), then the same to its left and to its right."""
+    best = None
+    for a in range(len(s)):
+        for b in range(a + 1, len(s) + 1):
+            x = float(s[a:b].sum())
+            if x > 0 and (best is None or x > best[2] + 1e-12 or abs(x - best[2]) <= 1e-12 and b - a < best[1] - best[0]):
+                best = (a, b, x)
+    if best is None:
+        return []
+    a, b, x = best
+    return [*maximal_by_definition(s[:a]), best, *((b + p, b + q, y) for p, q, y in maximal_by_definition(s[b:]))]
+
+
+def test_all_maximal_segments():
+    r = np.random.default_rng(2)
+    for _ in range(300):
+        s = r.standard_normal(12)  # no ties
+        got, want = toxicity.segments(s), maximal_by_definition(s)
+        assert [g[:2] for g in got] == [w[:2] for w in want] and np.allclose([g[2] for g in got], [w[2] for w in want])
+
+
+def test_extreme_value_parameters():
+    score, p = np.array([1.0, -1.0]), np.array([0.3, 0.7])
+    lam, k = toxicity.extreme_value(score, p)
+    assert abs(lam - np.log(0.7 / 0.3)) < 1e-6 and 0 < k <= 0.5  # the known root for steps of one
+    s = np.array([1.0] * 12 + [-1.0] * 40 + [1.0] * 12)
+    assert toxicity.passages(s, lam, k) == [(0, 12), (52, 64)]  # the same passage twice is found twice
+
+
 def plain_by_regex(t):
     digits = lambda s: re.sub("[^0-9]", "", s)
     out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
