@@ -167,7 +167,10 @@ def test_all_pairs_are_tried_where_the_nearest_were_refused(spark, monkeypatch):
     assert got == want
 
 
-def test_vectors_against_all_pairs(spark):
+@pytest.mark.parametrize(("chunk", "slab", "bundle"), [(65_536, 4, 2048), (40, 1, 16)])
+def test_vectors_against_all_pairs(spark, monkeypatch, chunk, slab, bundle):
+    for name, value in (("CHUNK", chunk), ("SLAB", slab), ("BUNDLE", bundle)):
+        monkeypatch.setattr(embedding_dedup, name, value)
     g = np.random.default_rng(3)
     x = g.standard_normal((300, 64))
     x[100:200] = x[:100] + g.standard_normal((100, 64)) * 0.45
