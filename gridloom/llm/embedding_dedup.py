@@ -212,7 +212,7 @@ def vector_groups(table: DataFrame, t: float = 0.8, id_col: str = "vec_id", vect
         sample.setdefault(len(r.vector), []).append(r.vector)
     axis = {d: axes(_rotated(np.asarray(x, float))) for d, x in sample.items()}
     place, tile = ["dim", "block", "slab"], ["dim", "block", "slab", "bi", "bj"]
-    placed = classes.select("cid", "vector").mapInPandas(_slabs(t, axis), "dim int, block int, slab int, home boolean, cid long, z binary")
+    placed = keep(classes.select("cid", "vector").mapInPandas(_slabs(t, axis), "dim int, block int, slab int, home boolean, cid long, z binary"))
     sizes = keep(placed.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("parts")))
     tiles = placed.join(F.broadcast(sizes) if sizes.count() <= BROADCAST_SLABS else sizes, place).withColumn("here", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
     tiles = tiles.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("bi", F.least("here", "with")).withColumn("bj", F.greatest("here", "with"))
