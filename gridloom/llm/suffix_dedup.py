@@ -14,7 +14,8 @@ PERIOD words or fewer over and over would keep one at every repetition: in its m
 beginning too, and the run is reported as a match with itself, one repetition further on.
 
 Hot seeds are those of more suffixes than a HOT-th of all; so there are no more than HOT of them, they are broadcast, and their
-suffixes are dealt by salt and surroundings and never by seed alone. Texts to be looked up are joined by broadcast while the ids and places number BROADCAST at most, beyond it by shuffle.
+suffixes are dealt by salt and surroundings and never by seed alone. Texts that are looked up again are picked out first by hash buckets of their ids, LOOKUP at most,
+so that few others are shuffled.
 
 Words are runs without space and 0x09-0x0D and are compared by 64-bit hashes of their bytes, case included. Null and empty texts have no words. Rows
 without an id are left out. Rows that repeat id and text are one document; two texts of one id are taken as one document's. An
@@ -44,8 +45,8 @@ NEIGHBOURS = 3
 SALTED = 2000
 #: A seed is hot that has more than this share of all suffixes.
 HOT = 10_000
-#: Ids and places (eight bytes each or less) that are broadcast rather than shuffled to pick out texts.
-BROADCAST = 2_000_000
+#: Hash buckets of ids, those in use being broadcast, that tell which texts a lookup may want.
+LOOKUP = 1 << 20
 #: Runs that repeat this many words or fewer keep suffixes at their ends only.
 PERIOD = 8
 
@@ -179,6 +180,13 @@ def _extended(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield df[["doc", "other", "diag", "start", "end", "side"]].assign(n=n)
 
 
+def _looked_up(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """docs joined with wanted by its id. Texts of other buckets than those of wanted ids are not shuffled."""
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(LOOKUP))
+    some = docs.join(F.broadcast(wanted.select(bucket("id").alias("bucket")).distinct()), bucket("doc_id") == F.col("bucket"), "left_semi")  # LOOKUP rows at most
+    return some.join(wanted, F.col("doc_id") == F.col("id"))
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, start_word, end_word, n_words, match_doc_ids: stretches of documents that repeat passages found earlier
     (in a document with a smaller id, or further up in the same), merged where they touch, with the documents they were matched with."""
@@ -204,9 +212,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     large = kept.where("salt >= 0")
     kinds = large.groupBy("seed", "around").agg(F.min(F.struct("doc", "pos", "salt")).alias("f")).select("f.doc", "f.pos", "f.salt")
     kinds = keep(kinds.groupBy(F.col("doc").alias("id")).agg(F.collect_list(F.struct("pos", "salt")).alias("x")).select("id", F.col("x.pos").alias("at"), F.col("x.salt").alias("salts")))
-    few = (kinds.agg(F.sum(F.size("at") + F.size("salts") + 2)).first()[0] or 0) <= BROADCAST
-    passages = docs.join(F.broadcast(kinds) if few else kinds, docs["doc_id"] == kinds["id"]).select("doc_id", "text", "at", "salts")
-    passages = keep(passages.mapInPandas(_passages, "key long, salt int, doc long, pos int"))
+    passages = keep(_looked_up(docs, kinds).select("doc_id", "text", "at", "salts").mapInPandas(_passages, "key long, salt int, doc long, pos int"))
     near = neighbours(kept.where("salt < 0"), W.partitionBy("seed"), NEIGHBOURS)
     pairs = near.unionByName(alike(large, "seed", "around")).unionByName(alike(passages, "key")).where("prev IS NOT NULL")
     lo, hi = F.least(before, F.col("prev")), F.greatest(before, F.col("prev"))
@@ -216,8 +222,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     ends = chains.withColumn("side", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("at_b", F.when(F.col("side") == 0, F.col("start")).otherwise(F.col("end"))).withColumn("at_a", F.col("at_b") - F.col("diag"))
     places = ends.select("doc", F.col("at_b").alias("at"), "side").unionByName(ends.select(F.col("other").alias("doc"), F.col("at_a").alias("at"), "side"))
     places = keep(places.groupBy(F.col("doc").alias("id")).agg(F.collect_set(F.when(F.col("side") == 0, F.col("at"))).alias("lefts"), F.collect_set(F.when(F.col("side") == 1, F.col("at"))).alias("rights")))
-    few = (places.agg(F.sum(F.size("lefts") + F.size("rights") + 2)).first()[0] or 0) <= BROADCAST
-    words = docs.join(F.broadcast(places) if few else places, docs["doc_id"] == places["id"]).select("doc_id", "text", "lefts", "rights")
+    words = _looked_up(docs, places).select("doc_id", "text", "lefts", "rights")
     words = keep(words.mapInPandas(_contexts, "doc long, at int, side int, words binary").dropDuplicates(["doc", "at", "side"]))
     sides = ends.join(words.select("doc", F.col("at").alias("at_b"), "side", F.col("words").alias("words_b")), ["doc", "at_b", "side"])
     sides = sides.join(words.select(F.col("doc").alias("other"), F.col("at").alias("at_a"), "side", F.col("words").alias("words_a")), ["other", "at_a", "side"])
