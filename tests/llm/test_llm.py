@@ -307,16 +307,13 @@ def test_quality_and_toxicity_learn(spark, none):
     assert toxicity.toxicity(all_, labels.limit(0)).where("predicted = 1").count() == 0
 
 
-def test_quality_against_plain_loops(spark, monkeypatch):
-    """Counts, ratios, curve, noise and the k greatest keys, a document at a time."""
+def classified(made, told):
+    """(id, weight, log odds, key, accepted) by counts, ratios, curve, noise and the k greatest keys, a document at a time."""
     import math
     import struct
 
     import xxhash
 
-    made = [(i, text(30 + i % 50, i)) for i in range(120)] + [(500 + i, "BUY NOW !!! " * (10 + i)) for i in range(40)] + [(900, None), (901, ""), (902, "?"), (None, text(20, 7)), (903, text(50, 1)), (903, "BUY NOW !!! ")]
-    told = {**{i: 1 for i in range(0, 120, 2)}, **{500 + i: 0 for i in range(0, 40, 2)}}
-    got = sorted((tuple(r) for r in quality.classify(spark.createDataFrame(made, "doc_id long, text string"), spark.createDataFrame(list(told.items()), "doc_id long, quality int")).collect()), key=repr)
     grams = [quality.ngrams([(t or "").encode()])[0].tolist() for _, t in made]
     raw, good = [0] * quality.BUCKETS, [0] * quality.BUCKETS
     for (i, _), g in zip(made, grams, strict=True):
@@ -327,8 +324,11 @@ def test_quality_against_plain_loops(spark, monkeypatch):
     prior = [(x + 1) / (n_raw + n) for x in raw]
     ratio = [math.log((g + 5 * n * p) / (n_good + 5 * n)) - math.log(p) for g, p in zip(good, prior, strict=True)]
     weight = [sum(ratio[b] for b in g) / (quality.FEW + len(g)) for g in grams]
-    known = sorted((i, w) for (i, _), w in zip(made, weight, strict=True) if i in told)
-    b0, b1 = quality.curve(np.array([w for _, w in known]), np.array([float(told[i]) for i, _ in known]))
+    known = {}
+    for (i, _), w in zip(made, weight, strict=True):
+        if i in told:
+            known.setdefault(i, []).append(w)
+    b0, b1 = quality.curve(np.array([np.mean(known[i]) for i in sorted(known)]), np.array([float(told[i]) for i in sorted(known)]))
 
     def noise(i):
         h = xxhash.xxh64_intdigest(struct.pack("<i", 11), 42)
@@ -339,7 +339,14 @@ def test_quality_against_plain_loops(spark, monkeypatch):
     keys = [o + noise(i) for (i, _), o in zip(made, odds, strict=True)]
     k = round(sum(1 / (1 + math.exp(-o)) for o in odds))
     at = sorted(keys, reverse=True)[k - 1]
-    want = sorted(((i, w, o, x, x >= at) for (i, _), w, o, x in zip(made, weight, odds, keys, strict=True)), key=repr)
+    return [(i, w, o, x, x >= at) for (i, _), w, o, x in zip(made, weight, odds, keys, strict=True)]
+
+
+def test_quality_against_plain_loops(spark):
+    made = [(i, text(30 + i % 50, i)) for i in range(120)] + [(500 + i, "BUY NOW !!! " * (10 + i)) for i in range(40)] + [(900, None), (901, ""), (902, "?"), (None, text(20, 7)), (903, text(50, 1)), (903, "BUY NOW !!! "), (904, text(30_000, 5))]
+    told = {**{i: 1 for i in range(0, 120, 2)}, **{500 + i: 0 for i in range(0, 40, 2)}}
+    got = sorted((tuple(r) for r in quality.classify(spark.createDataFrame(made, "doc_id long, text string"), spark.createDataFrame(list(told.items()), "doc_id long, quality int")).collect()), key=repr)
+    want = sorted(classified(made, told), key=repr)
     assert [(r[0], r[4]) for r in got] == [(r[0], r[4]) for r in want]
     assert np.allclose([r[1:4] for r in got], [r[1:4] for r in want])
 
@@ -452,6 +459,105 @@ def test_find_pii(docs, none):
     assert pii.find_pii(docs).count() == len(DOCS) and pii.find_pii(none).count() == 0
 
 
+def mixed(made, weight):
+    """How often each document of (id, text, source) is taken: targets by water level, then keys in order while they fit, then what fits best."""
+    words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    by = {}
+    for i, t, s in made:
+        u = (int(hashlib.md5(f"mix:{'null' if i is None else i}".encode()).hexdigest()[:12], 16) + 0.5) / 2**48
+        by.setdefault(s, []).append((1 - u ** (1 / weight.get(i, 1.0)), i, words(t)))
+    order = [*sorted(s for s in by if s is not None), *[s for s in by if s is None]]
+    size, w = {s: sum(r[2] for r in by[s]) for s in order}, {s: j % 3 + 1 for j, s in enumerate(order)}
+    target, left = {}, set(order)
+    while left:
+        level = (sum(size.values()) - sum(target.values())) / sum(w[s] for s in left)
+        full = {s for s in left if level * w[s] > 3 * size[s]}
+        target |= {s: 3 * size[s] for s in full} if full else {s: level * w[s] for s in left}
+        left = left - full if full else set()
+    taken = {}
+    for s, docs in by.items():
+        whole = int(target[s] // size[s]) if size[s] else 0
+        need, upto, picked = target[s] - whole * size[s], 0, set()
+        for key, i, n in sorted(docs):
+            upto += n
+            if need > 0 and upto <= need:
+                picked.add(i)
+        rest = need - sum(n for _, i, n in docs if i in picked)
+        for _ in range(3):
+            free = [(abs(n - rest), key, i, n) for key, i, n in docs if n and i not in picked and abs(n - rest) < rest]
+            if not free:
+                break
+            _, _, i, n = min(free)
+            picked.add(i)
+            rest -= n
+        for _, i, n in docs:
+            taken[i] = (whole + (i in picked), n, target[s])
+    return taken
+
+
+def test_mix_with_quality_weights(spark):
+    from pyspark.sql import functions as F
+
+    r = random.Random(3)
+    made = [(i, text(r.choice([0, 1, 5, 40, 300]), i), r.choice(["a", "b", "c", "d", None])) for i in range(300)] + [(400, None, "a"), (401, text(20_000, 1), "b"), (402, text(4, 4), "lone")]
+    weight = {i: 2.0 if i % 3 else 0.5 for i in range(0, 300, 2)}
+    docs = spark.createDataFrame(made, "doc_id long, text string, source string").withColumn("_s", F.lit(1)).withColumn("bin", F.lit(1)).withColumn("weight", F.lit(9.0)).withColumn("key", F.lit(0))
+    got = mixing.mix(docs, spark.createDataFrame(list(weight.items()), "doc_id long, weight double")).collect()
+    want = mixed(made, weight)
+    assert {r.doc_id: r.taken for r in got} == {i: n * size for i, (n, size, _) in want.items()} and len(got) == len(made)
+    assert all(abs(r.target - want[r.doc_id][2]) < 1e-6 for r in got)
+    twice = mixing.mix(spark.createDataFrame([(1, "a b", "s"), (1, "a b", "s"), (1, "c", "s"), (2, "a b c", "t")], "doc_id long, text string, source string")).collect()
+    assert len(twice) == 4 and all(r.taken <= 3 * r.size for r in twice)
+
+
+def test_pipeline_against_brute_force(spark, none, tmp_path):
+    """All five stages over a table with nulls, empty and very long texts, copies, near copies, ties, repeated rows and columns of clashing names."""
+    import base64
+
+    import corpus_pipeline
+    import tiktoken
+    from pyspark.sql import functions as F
+
+    base = [text(120, 3000 + i) for i in range(12)]
+    rows_ = [(i, text(60 + i % 40, i), f"s{i % 4}") for i in range(100)]
+    rows_ += [(200 + i, base[i % 12], "s1") for i in range(30)]  # copies
+    rows_ += [(300 + i, " ".join(["x", *base[i].split()[1:]]), "s2") for i in range(12)]  # near copies
+    rows_ += [(400 + i, "BUY NOW !!! $$$ " * (5 + i), "spam") for i in range(30)]
+    rows_ += [(500, None, "s1"), (501, "", None), (502, text(40_000, 9), "s3"), (503, "a", None), (504, base[0].replace(" ", "  "), "s3"), (505, text(90, 6), "s3"), (505, text(90, 6), "s3")]
+    told = {**{i: 1 for i in range(0, 100, 2)}, **{400 + i: 0 for i in range(0, 30, 2)}, **{200: 1, 502: 1}}
+    d = spark.createDataFrame([(i, t, "en", s, None if t is None else len(t)) for i, t, s in rows_], SCHEMA)
+    for name in ("_id", "_n", "_copy", "digest", "keep"):
+        d = d.withColumn(name, F.lit(7))
+    d.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, q, 0) for i, q in told.items()], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    fine = {(i, t, s) for (i, t, s), (_, _, _, _, ok) in zip(rows_, classified([(i, t) for i, t, _ in rows_], told), strict=True) if ok}
+    assert 0 < len(fine) < len(rows_)
+    best = {}
+    for i, t, s in fine:
+        k = re.sub(r"[\x20\x09-\x0D]", "", t or "")
+        best[k] = min(best.get(k, (1, 0, None, None)), (-len(t or ""), i, t, s))
+    once = {i: (t, s) for _, i, t, s in best.values()}
+    sets = {}
+    for i, (t, _) in once.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
+        sets[i] = {tuple(w[j : j + 5]) for j in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    first = brute_components(sets, 80, 100)
+    apart = {i: x for i, x in once.items() if first[i] == i}
+    assert len(apart) < len(once) < len(fine)
+    taken = mixed([(i, t, s) for i, (t, s) in apart.items()], {i: 2.0 if q else 0.5 for i, q in told.items()})
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
+    e = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = []
+    for i, (n, _, _) in taken.items():
+        ids = np.array(e.encode_ordinary(apart[i][0] or ""), "<u4")
+        want += [(i, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), ids.tobytes())] * n
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.n_tokens, r.ids_sha256, bytes(r.ids)) for r in got) == sorted(want)
+    none.write.parquet(str(tmp_path / "empty" / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "empty" / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "empty")).count() == 0
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables here")
 def test_pipeline_stages(spark):
     import corpus_pipeline
@@ -470,3 +576,35 @@ def test_pipeline_stages(spark):
     assert n[0] >= n[1] >= n[2] >= n[3] > 0
     out = corpus_pipeline.STAGES[-1][1](spark, docs, "/root/testdata/sf0.001")
     assert out.count() == n[4]
+
+
+EDGES = [(1, "one two three four five six", "en", "a", 1), (1, "one two three four five six", "en", "a", 1), (1, "another text under the same id", "en", "b", 1), (2, None, None, None, None), (2, None, None, None, None), (3, "", "en", "a", 0), (4, " \t\n", "en", "a", 3), (None, "no id", "en", "b", 1), (None, None, None, None, None), (5, "word " * 300_000, "en", "c", 1), (6, "x" * 500_000, "en", "c", 1), (7, "mail a@b.co or +1 202 555 0123\n" * 20_000, "en", "c", 1)]
+
+
+def test_every_operator_with_repeats_nulls_long_texts_and_clashing_names(spark):
+    from pyspark.sql import functions as F
+
+    d = spark.createDataFrame(EDGES, SCHEMA)
+    for name in ("_d", "_t", "tie", "gone", "ls", "runs", "row", "key", "score", "toxic", "quality", "weight", "digest", "cid", "node", "component", "n", "bucket", "spans", "id", "seed"):
+        d = d.withColumn(name, F.lit("x"))
+    labels = spark.createDataFrame([(1, 1, 0), (5, 0, 0), (6, 0, 1), (7, 1, 1), (None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    made = {
+        "lines": line_dedup.line_dedup(d), "quality": quality.classify(d, labels), "bpe": bpe.encode(d, path, public_tokenizers.PATTERN),
+        "toxicity": toxicity.toxicity(d, labels), "pii": pii.find_pii(d), "exact": exact_dedup.exact_groups(d), "near": jaccard.near_groups(d, 5, (80, 100)), "mix": mixing.mix(d),
+    }
+    for name, out in made.items():
+        got = out.collect()
+        assert sorted(repr(r.doc_id) for r in got) == sorted(repr(e[0]) for e in EDGES), name
+    lines = {(r.doc_id, r.text) for r in made["lines"].collect()}
+    # every later window of the line is gone; the empty line behind the last one is in no repeated window
+    assert (7, "mail a@b.co or +1 202 555 0123\n") in lines
+    found = {r.doc_id: (r.n_email, r.n_phone, r.n_spans) for r in made["pii"].where("doc_id = 7").collect()}
+    assert found == {7: (20_000, 20_000, 40_000)}
+    near = [r.component_id for r in made["near"].where("doc_id = 1").collect()]
+    assert near == [1, 1, 1]
+    spans = {(r.doc_id, r.start_word, r.end_word) for r in suffix_dedup.repeated_passages(d).collect()}
+    assert (5, 1, 300_000) in spans
+    v = spark.createDataFrame([(1, [1.0, 0.0], "x"), (1, [1.0, 0.0], "y"), (2, [2.0, 0.0], "z"), (3, [0.0, -0.0], "z"), (4, [], "z"), (5, [1e300, 1e-300], "z"), (6, [0.0, 1.0], "z")], "vec_id long, embedding array<double>, cid string").withColumn("mult", F.lit(1)).withColumn("k1", F.lit(1)).withColumn("a", F.lit(1))
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in embedding_dedup.vector_groups(v, 0.9).collect())
+    assert got == [(1, 3, 1), (1, 3, 1), (2, 3, 1), (3, 0, 3), (4, 0, 4), (5, 3, 1), (6, 0, 6)]
