@@ -1,6 +1,8 @@
 """A training corpus from documents: junk out, exact copies out, near copies out, sources mixed, texts encoded.
 
-Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; all but the last return the columns of documents.
+Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; all but the last return the columns of documents, whatever others
+these have. Null text is kept as it is and counts as empty; rows without an id pass the joins on ids as one document. Rows that repeat an id and a text
+become one at the second stage, and so do equal texts; ties go to the smaller id. An empty table gives an empty result. Results agree from run to run.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm.bpe import encode
-from gridloom.llm.common import keep, read
+from gridloom.llm.common import keep, read, unused
 from gridloom.llm.exact_dedup import exact_dedup
 from gridloom.llm.jaccard import near_dedup
 from gridloom.llm.mixing import label_weights, mix
@@ -34,11 +36,12 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it; those that it does not take go."""
-    taken = mix(docs, label_weights(read(spark, sf_dir, "labels"))).select(F.col("doc_id").alias("_id"), (F.col("epochs") + F.col("picked").cast("int")).alias("_n"))
+    id_, n, copy = (unused(docs, c) for c in ("_id", "_n", "_copy"))
+    taken = mix(docs, label_weights(read(spark, sf_dir, "labels"))).select(F.col("doc_id").alias(id_), (F.col("epochs") + F.col("picked").cast("int")).alias(n))
     # rows of one id share what their source takes; ids are distinct after the stages before
-    taken = taken.where("_n > 0").groupBy("_id").agg(F.max("_n").alias("_n"))
-    out = docs.join(taken, docs["doc_id"].eqNullSafe(F.col("_id")))
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+    taken = taken.where(F.col(n) > 0).groupBy(id_).agg(F.max(n).alias(n))
+    out = docs.join(taken, F.col("doc_id").eqNullSafe(F.col(id_)))
+    return out.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +57,7 @@ STAGES = [
     ("byte-level BPE encoding", encoded),
 ]
 
-#: The classifier and the joins have no SQL; run() is tested against brute force.
+#: The classifier and the joins have no SQL; tests/llm holds run() against brute force.
 ORACLE_SQL = None
 
 
