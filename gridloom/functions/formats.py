@@ -1,8 +1,14 @@
-"""Number and date formats of spreadsheets as Columns. A format is known when the plan is made, so nothing is parsed per row."""
+"""Number and date formats of spreadsheets as Columns. A format is known when the plan is made, so nothing is parsed per row.
+
+A format is read into tokens once: literals (quoted, escaped, or any character without a meaning), digit places, and runs of date letters.
+What only concerns layout (fills, widths, colours and conditions in brackets) is dropped there.
+"""
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,23 +16,65 @@ from pyspark.sql import functions as F
 #: Weekday signs from Sunday, and the sign after a month's number.
 _WEEKDAYS = "日一二三四五六"
 _MONTH = "月"
-#: A number's digits in a format: optional and forced digits, thousands, decimals.
-_DIGITS = re.compile(r"[#0?,]*[#0?][#0?,]*(?:\.[#0?]*)?|\.[#0?]+")
-_DATE_PART = re.compile(r'y+|m+|d+|h+|s+|\.0+|am/pm|a/p|"[^"]*"|\\.|.', re.I | re.S)
 
 
-def sections(fmt: str) -> list[str]:
-    """Cut at semicolons outside quotes."""
-    return re.findall(r'(?:"[^"]*"|\\.|[^;"\\])+|(?<=;)(?=;|$)|^(?=;)', fmt) or [""]
+@dataclass
+class Token:
+    """kind: text, code (a run of one character with a meaning, as lower case) or cut (a semicolon)."""
+
+    kind: str
+    text: str
+
+
+def tokens(fmt: str) -> list[Token]:
+    out: list[Token] = []
+    chars = iter(fmt)
+    for ch in chars:
+        if ch == '"':
+            out.append(Token("text", "".join(_until(chars, '"'))))
+        elif ch == "[":
+            "".join(_until(chars, "]"))
+        elif ch == "\\":
+            out.append(Token("text", next(chars, "")))
+        elif ch in "_*":
+            next(chars, "")
+        elif ch == ";":
+            out.append(Token("cut", ch))
+        else:
+            out.append(Token("code", ch.lower()) if ch.lower() in "0#?.,%ymdhsap/:" else Token("text", ch))
+            out[-1].raw = ch
+    return out
+
 
+def _until(chars: Iterator[str], end: str) -> Iterator[str]:
+    for ch in chars:
+        if ch == end:
+            return
+        yield ch
 
-def _literal(s: str) -> str:
-    return re.sub(r'"([^"]*)"|\\(.)', lambda m: m[1] if m[1] is not None else m[2], s)
+
+def sections(fmt: str) -> list[list[Token]]:
+    """The parts between semicolons."""
+    out: list[list[Token]] = [[]]
+    for t in tokens(fmt):
+        if t.kind == "cut":
+            out.append([])
+        else:
+            out[-1].append(t)
+    return out
 
 
-def is_date_format(fmt: str) -> bool:
-    bare = re.sub(r'"[^"]*"|\\.|\[[^\]]*\]', "", fmt).lower()
-    return bool(re.search("[ydh]", bare) or ("s" in bare and ":" in bare) or re.fullmatch(r"\s*m+\s*", bare))
+def _said(ts: list[Token]) -> str:
+    """What tokens without a part in the number say."""
+    return "".join(t.text if t.kind == "text" else getattr(t, "raw", t.text) for t in ts)
+
+
+def is_date_format(section: list[Token]) -> bool:
+    """Years, days or hours make a date format, seconds beside a colon, or months alone."""
+    codes = [t.text for t in section if t.kind == "code"]
+    if not set(codes).isdisjoint("ydh") or {"s", ":"} <= set(codes):
+        return True
+    return bool(codes) and set(codes) == {"m"} and not _said([t for t in section if t.kind == "text"]).strip()
 
 
 def general(x: Column) -> Column:
@@ -38,29 +86,58 @@ def general(x: Column) -> Column:
     return F.when((x == F.floor(x)) & (F.abs(x) < 1e11), x.cast("long").cast("string")).when((F.abs(x) < 1e9) & (F.abs(x) >= 1e-9), shown).otherwise(x.cast("string"))
 
 
-def _number(x: Column, section: str) -> Column:
-    """One section applied to a number; the sign is put before it. Rounds half away from zero."""
-    s = re.sub(r"\[[^\]]*\]|_.|\*.", "", section)
-    at = _DIGITS.search(s)
-    if not at:
-        return F.lit(_literal(s))
-    before, after = s[: at.start()], s[at.end() :]
-    whole, _, tail = at.group().partition(".")
-    bare = whole.rstrip(",")
-    most, least = len(tail), tail.count("0")
-    power = 2 * (before + after).count("%") - 3 * (len(whole) - len(bare))
-    v = F.round(F.abs(x).cast("decimal(38,12)") * F.lit(10.0**power).cast("decimal(18,9)"), most)
-    parts = F.split(v.cast("string"), r"\.")
-    ints = F.format_number(F.floor(v), 0) if "," in bare else F.element_at(parts, 1)
-    forced = bare.count("0")
-    ints = F.when(F.length(ints) < forced, F.lpad(ints, forced, "0")).otherwise(ints)
-    decimals = F.rpad(F.coalesce(F.get(parts, F.lit(1)), F.lit("")), most, "0") if most else F.lit("")
-    if most > least:
-        decimals = F.concat(F.substring(decimals, 1, least), F.regexp_replace(F.substring(decimals, least + 1, most), "0+$", ""))
-    if not forced and most:
-        ints = F.when((ints == "0") & (decimals != ""), "").otherwise(ints)
-    sign = F.when((x < 0) & (v != 0), "-").otherwise("")
-    return F.concat(sign, F.lit(_literal(before)), ints, F.when(decimals != "", F.concat(F.lit("."), decimals)).otherwise(""), F.lit(_literal(after)))
+@dataclass
+class _Layout:
+    """How a section lays a number out: texts around it, least digits of the whole part, grouping, least and most decimals, and the power of ten before it is shown."""
+
+    before: str
+    after: str
+    whole: int
+    grouped: bool
+    least: int
+    most: int
+    power: int
+
+
+def _layout(section: list[Token]) -> _Layout | None:
+    """None of a section without digit places."""
+    place = lambda t: t.kind == "code" and t.text in "0#?"
+    start = next((i for i, t in enumerate(section) if place(t)), None)
+    if start is None:
+        return None
+    if start and section[start - 1].kind == "code" and section[start - 1].text == ".":
+        start -= 1
+    end = start
+    while end < len(section) and section[end].kind == "code" and section[end].text in "0#?.,":
+        end += 1
+    body = "".join(t.text for t in section[start:end])
+    whole, _, decimals = body.partition(".")
+    digits = whole.rstrip(",")
+    around = section[:start] + section[end:]
+    thousands = len(whole) - len(digits) + decimals.count(",")
+    decimals = decimals.replace(",", "")
+    percents = sum(t.kind == "code" and t.text == "%" for t in around)
+    return _Layout(_said(section[:start]), _said(section[end:]), digits.count("0"), "," in digits, decimals.count("0"), len(decimals), 2 * percents - 3 * thousands)
+
+
+def _number(x: Column, section: list[Token]) -> Column:
+    """A number by one section, its sign before it. Rounds half away from zero."""
+    at = _layout(section)
+    if at is None:
+        return F.lit(_said(section))
+    shown = F.round(F.abs(x).cast("decimal(38,12)") * F.lit(10.0**at.power).cast("decimal(18,9)"), at.most)
+    whole, decimals = F.split_part(shown.cast("string"), F.lit("."), F.lit(1)), F.rpad(F.split_part(shown.cast("string"), F.lit("."), F.lit(2)), at.most, "0")
+    bare = whole
+    if at.grouped:
+        whole = F.format_number(F.floor(shown), 0)
+    whole = F.lpad(whole, F.greatest(F.length(whole), F.lit(at.whole)), F.lit("0"))
+    # zeros that need not be shown go from the end of the decimals
+    forced, free = F.substring(decimals, 1, at.least), F.rtrim(F.substring(decimals, at.least + 1, at.most), F.lit("0"))
+    decimals = F.concat(forced, free)
+    if at.most and not at.whole:
+        whole = F.when((bare == "0") & (decimals != ""), "").otherwise(whole)
+    point = F.when(decimals != "", ".").otherwise("")
+    return F.concat(F.when((x < 0) & (shown != 0), "-").otherwise(""), F.lit(at.before), whole, point, decimals, F.lit(at.after))
 
 
 def number_format(x: Column, fmt: str) -> Column:
@@ -77,48 +154,73 @@ def number_format(x: Column, fmt: str) -> Column:
     return out.otherwise(_number(x, parts[0]))
 
 
-def _is_minute(parts: list[str], i: int) -> bool:
-    """m or mm stands for minutes where the nearest date part before it is hours, or the nearest one after it seconds."""
-    kinds = [p[0].lower() if p[0].lower() in "ymdhs" and p.lower() not in ("am/pm",) else "" for p in parts]
-    before = next((k for k in reversed(kinds[:i]) if k and k != "s"), "")
-    after = next((k for k in kinds[i + 1 :] if k), "")
-    return len(parts[i]) <= 2 and (before == "h" or after == "s")
+@dataclass
+class _Part:
+    """A run of one date letter, what stands between, or a fraction of a second."""
+
+    kind: str
+    size: int
+    text: str = ""
+
+
+def _date_parts(section: list[Token]) -> list[_Part]:
+    runs: list[tuple[str, list[Token]]] = []
+    for _, group in groupby(enumerate(section), key=lambda it: (it[1].kind, it[1].text if it[1].kind == "code" and it[1].text in "ymdhs0" else it[0])):
+        ts = [t for _, t in group]
+        runs.append((ts[0].text if ts[0].kind == "code" else "", ts))
+    out: list[_Part] = []
+    i = 0
+    while i < len(runs):
+        code, ts = runs[i]
+        ahead = "".join(c * len(t) for c, t in runs[i : i + 5])
+        half = next((h for h in ("am/pm", "a/p") if ahead.startswith(h)), None)
+        if half:
+            out.append(_Part("half", len(half), half))
+            i += len([c for c in half if c])
+        elif code == "." and i + 1 < len(runs) and runs[i + 1][0] == "0":
+            out.append(_Part("fraction", len(runs[i + 1][1])))
+            i += 2
+        else:
+            out.append(_Part(code, len(ts)) if code and code in "ymdhs" else _Part("text", 0, _said(ts)))
+            i += 1
+    # m is minutes behind hours (or minutes' own seconds) and before seconds
+    letters = [p for p in out if p.kind in ("y", "m", "d", "h", "s")]
+    for i, p in enumerate(letters):
+        before = [q.kind for q in letters[:i] if q.kind != "s"][-1:]
+        after = [q.kind for q in letters[i + 1 : i + 2]]
+        if p.kind == "m" and p.size <= 2 and (before == ["h"] or after == ["s"]):
+            p.text = "minute"
+    return out
 
 
 def date_format(t: Column, fmt: str) -> Column:
     """A timestamp by a date format. Seconds round where the format shows whole ones. NULL shows as ''."""
-    parts = _DATE_PART.findall(fmt)
-    low = [p.lower() for p in parts]
-    fraction = next((len(p) - 1 for p in parts if re.fullmatch(r"\.0+", p)), None)
-    if any(p in ("s", "ss") for p in low):
-        unit = 10 ** (6 - min(fraction or 0, 6))
+    parts = _date_parts(sections(fmt)[0])
+    fraction = next((p.size for p in parts if p.kind == "fraction"), 0)
+    if any(p.kind == "s" for p in parts):
+        unit = 10 ** (6 - min(fraction, 6))
         t = F.timestamp_micros((F.floor(F.unix_micros(t.cast("timestamp")) / unit + 0.5) * unit).cast("long"))
-    half = any(p in ("am/pm", "a/p") for p in low)
-    hour = (F.hour(t) + 11) % 12 + 1 if half else F.hour(t)
-    number = {"y": F.year(t), "d": F.dayofmonth(t), "h": hour, "s": F.second(t)}
-    two = lambda n: F.lpad(n.cast("string"), 2, "0")
-    out = []
-    for i, p in enumerate(low):
-        if p == "am/pm" or p == "a/p":
-            out.append(F.when(F.hour(t) < 12, p.split("/")[0].upper()).otherwise("PM" if p == "am/pm" else "P"))
-        elif p in ("yyyy", "yyy"):
-            out.append(F.year(t).cast("string"))
-        elif p in ("y", "yy"):
-            out.append(two(F.year(t) % 100))
-        elif p in ("m", "mm"):
-            n = F.minute(t) if _is_minute(parts, i) else F.month(t)
-            out.append(two(n) if p == "mm" else n.cast("string"))
-        elif re.fullmatch("m{3,}", p):
-            out.append(F.concat(F.month(t).cast("string"), F.lit(_MONTH)))
-        elif re.fullmatch("d{3,}", p):
-            out.append(F.substring(F.lit(_WEEKDAYS), F.dayofweek(t), F.lit(1)))
-        elif re.fullmatch("d{1,2}|h{1,2}|s{1,2}", p):
-            out.append(two(number[p[0]]) if len(p) == 2 else number[p[0]].cast("string"))
-        elif fraction and p == "." + "0" * fraction:
-            out.append(F.concat(F.lit("."), F.substring(F.date_format(t, "SSSSSS"), 1, fraction)))
-        else:
-            out.append(F.lit(_literal(parts[i])))
-    return F.coalesce(F.concat(*out), F.lit(""))
+    half = any(p.kind == "half" for p in parts)
+    numbers = {"y": F.year(t) % 100, "m": F.month(t), "d": F.dayofmonth(t), "h": (F.hour(t) + 11) % 12 + 1 if half else F.hour(t), "s": F.second(t)}
+
+    def shown(p: _Part) -> Column:
+        if p.kind == "text":
+            return F.lit(p.text)
+        if p.kind == "half":
+            am, pm = p.text.upper().split("/")
+            return F.when(F.hour(t) < 12, am).otherwise(pm)
+        if p.kind == "fraction":
+            return F.concat(F.lit("."), F.substring(F.date_format(t, "SSSSSS"), 1, p.size))
+        if p.kind == "y" and p.size > 2:
+            return F.year(t).cast("string")
+        if p.kind == "m" and p.size > 2:
+            return F.concat(F.month(t).cast("string"), F.lit(_MONTH))
+        if p.kind == "d" and p.size > 2:
+            return F.substring(F.lit(_WEEKDAYS), F.dayofweek(t), F.lit(1))
+        n = F.minute(t) if p.text == "minute" else numbers[p.kind]
+        return F.lpad(n.cast("string"), 2, "0") if p.size == 2 or p.kind == "y" else n.cast("string")
+
+    return F.coalesce(F.concat(*map(shown, parts)), F.lit(""))
 
 
 def from_serial(x: Column) -> Column:

@@ -8,6 +8,7 @@ are NULL, and IFERROR and ISERROR see them. Comparison puts numbers before texts
 from __future__ import annotations
 
 import re
+from functools import reduce
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,8 @@ from gridloom.functions import sheet
 from gridloom.functions.formats import general
 from gridloom.functions.predicates import criterion
 from gridloom.functions.text import number_of
+from gridloom.operators.entities import numbered, running
+from gridloom.session import kept
 
 _LEXEME = re.compile(r"""\s*(?:(?P<text>"(?:[^"]|"")*")|(?P<call>[A-Za-z][\w.]*)\(|(?P<whole>\$?[A-Z]{1,3}:\$?[A-Z]{1,3})|(?P<cell>\$?[A-Z]{1,3}\$?\d+)
 |\[(?P<name>[^\]]+)\]|(?P<number>(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)|(?P<logical>TRUE|FALSE)\b|(?P<sign><>|<=|>=|[-+*/^&=<>%(),]))""", re.X)
@@ -31,6 +34,8 @@ class Value:
     kind: str
     blank: bool = False
     literal: object = None
+    #: Of an operator joined with a value, such as ">"&A1: both.
+    compare: tuple | None = None
 
     def number(self) -> Column:
         if self.kind == "text":
@@ -57,6 +62,9 @@ class _Plan:
     totals: dict[str, Column] = field(default_factory=dict)
     counts: list[tuple[str, list[tuple[str, Column]], Column | None]] = field(default_factory=list)
     lookups: list[tuple[str, str, str, Column]] = field(default_factory=list)
+    compares: list[tuple[str, str, str, Column]] = field(default_factory=list)
+    numbers: list[tuple[str, Column]] = field(default_factory=list)
+    rows: bool = False
 
     def column(self, name: str) -> Value:
         t = dict(self.df.dtypes)[name]
@@ -161,6 +169,8 @@ class _Reader:
         self.take(")")
         if name == "MATCH":
             return _match(self.plan, *args)
+        if name in _CELLS:
+            return _cells(self.plan, name, args)
         if name in _WHOLE and args and isinstance(args[0], str):
             return _WHOLE[name](self.plan, *args)
         if name not in _CALLS:
@@ -170,7 +180,8 @@ class _Reader:
 
 def _binary(s: str, a: Value, b: Value) -> Value:
     if s == "&":
-        return Value(F.concat(a.text(), b.text()), "text")
+        sign = a.literal if a.literal in _COMPARE else None
+        return Value(F.concat(a.text(), b.text()), "text", compare=(sign, b.number()) if sign else None)
     if s in _ARITHMETIC:
         return Value(_ARITHMETIC[s](a.number(), b.number()), "number")
     # a blank takes the other side's kind
@@ -241,14 +252,14 @@ def _is(test) -> object:
 _CALLS = {
     "IF": _if,
     "IFERROR": _iferror,
-    "AND": lambda *a: Value(_fold(a, lambda x, y: x & y), "logical"),
-    "OR": lambda *a: Value(_fold(a, lambda x, y: x | y), "logical"),
+    "AND": lambda *a: _logicals(a, True),
+    "OR": lambda *a: _logicals(a, False),
     "NOT": lambda v: Value(~v.logical(), "logical"),
     "ISNUMBER": _is(lambda v: v.c.isNotNull() if v.kind in ("number", "date") else F.lit(False)),
     "ISTEXT": _is(lambda v: v.c.isNotNull() if v.kind == "text" else F.lit(False)),
     "ISBLANK": _is(lambda v: v.c.isNull() if v.blank else F.lit(False)),
     "ISERROR": _is(lambda v: F.lit(False) if v.blank else v.c.isNull()),
-    "ROUND": lambda v, n: Value(F.round(v.number().cast("decimal(38,15)"), int(n.literal)).cast("double"), "number"),
+    "ROUND": lambda v, n: _round(v, n),
     "INT": _number(F.floor),
     "ABS": _number(F.abs),
     "TRIM": lambda v: Value(sheet.trim(v.text()), "text"),
@@ -259,8 +270,8 @@ _CALLS = {
     "RIGHT": _part(_right),
     "MID": _part(lambda s, i, n: F.when((i >= 1) & (n >= 0), F.substring(s, i, n))),
     "SUBSTITUTE": _substitute,
-    "SEARCH": lambda n, s: Value(F.nullif(F.regexp_instr(s.text(), F.lit("(?is)" + _loose(n.literal))), F.lit(0)).cast("double"), "number"),
-    "FIND": lambda n, s: Value(F.nullif(F.instr(s.text(), n.text()), F.lit(0)).cast("double"), "number"),
+    "SEARCH": lambda n, s, at=None: _position(lambda rest: F.regexp_instr(rest, F.lit("(?is)" + _loose(n.literal))), s, at),
+    "FIND": lambda n, s, at=None: _position(lambda rest: F.instr(rest, n.text()), s, at),
     "YEAR": _year(F.year),
     "MONTH": _year(F.month),
     "DAY": _year(F.dayofmonth),
@@ -273,11 +284,43 @@ _CALLS = {
 }
 
 
-def _fold(args: tuple, how) -> Column:
-    out = args[0].logical()
-    for v in args[1:]:
-        out = how(out, v.logical())
-    return out
+def _logicals(args: tuple, every: bool) -> Value:
+    """AND (every) or OR: texts and blanks in references are left out; with nothing left it is an error."""
+    parts = [v.c if v.kind == "logical" else v.c.cast("double") != 0 if v.blank and v.kind == "number" else v.logical() for v in args if not (v.blank and v.kind == "text")]
+    if not parts:
+        return Value(F.lit(None).cast("boolean"), "logical")
+    literal = [v for v in args if not v.blank]
+    said = F.coalesce(*parts).isNotNull()
+    failed = [v.logical().isNull() for v in literal]  # an error of a computed argument is the result's
+    out = F.lit(every)
+    for c in parts:
+        out = out & F.coalesce(c, F.lit(True)) if every else out | F.coalesce(c, F.lit(False))
+    bad = F.lit(False)
+    for c in failed:
+        bad = bad | c
+    return Value(F.when(said & ~bad, out), "logical")
+
+
+def _round(v: Value, n: Value) -> Value:
+    """Half away from zero; the digits may be computed (whole numbers from -9 to 12)."""
+    x = v.number().cast("decimal(38,15)")
+    if n.literal is not None:
+        return Value(F.round(x, int(n.literal)).cast("double"), "number")
+    digits = n.number()
+    digits = F.when(digits < 0, F.ceil(digits)).otherwise(F.floor(digits))
+    out = F
+    for k in range(-9, 13):
+        out = out.when(digits == k, F.round(x, k).cast("double"))
+    return Value(out, "number")
+
+
+def _position(find, s: Value, at: Value | None) -> Value:
+    """Where something is found in a text from a place on; an error where it is not, or the place lies outside."""
+    if at is None:
+        return Value(F.nullif(find(s.text()), F.lit(0)).cast("double"), "number")
+    start = F.floor(at.number()).cast("int")
+    found = find(F.substring(s.text(), start, F.length(s.text())))
+    return Value(F.when((start >= 1) & (start <= F.length(s.text()) + 1) & (found > 0), found + start - 1).cast("double"), "number")
 
 
 def _loose(pattern: str) -> str:
@@ -293,13 +336,23 @@ def _fixed(name: str, want: Value) -> Column:
 
 
 def _countif(plan: _Plan, *pairs) -> Value:
-    """COUNTIF and COUNTIFS: rows that meet every criterion. Literal criteria hold for all rows; computed ones are equality with this row's value."""
+    """COUNTIF and COUNTIFS: rows that meet every criterion. Literal criteria hold for all rows; computed ones are equality with this row's value, or, one alone
+    and written as an operator & a value, comparison with it. A computed criterion that turns out to hold an operator or wildcards is an error, not a count of 0."""
     pairs = list(zip(pairs[::2], pairs[1::2], strict=True))
     fixed = [_fixed(n, v) for n, v in pairs if v.literal is not None]
     where = None
     for c in fixed:
         where = c if where is None else where & c
-    keys = [(n, F.lower(v.text())) for n, v in pairs if v.literal is None]
+    compared = [(n, v) for n, v in pairs if v.compare]
+    if compared:
+        if len(pairs) > 1:
+            raise NotImplementedError("a computed comparison beside other criteria")
+        (n, v), = compared
+        out = f"_count{len(plan.counts) + len(plan.compares)}"
+        plan.compares.append((out, n, *v.compare))
+        return Value(F.coalesce(F.col(out), F.lit(0)), "number")
+    plain = lambda v: v.text() if v.kind != "text" else F.when(v.text().rlike(r"^(<>|>=|<=|=|>|<)|[*?~]"), F.raise_error(F.concat(F.lit("computed criterion: "), v.text()))).otherwise(v.text())
+    keys = [(n, F.lower(plain(v))) for n, v in pairs if v.literal is None]
     if not keys:
         return plan.total(F.count_if(where))
     out = f"_count{len(plan.counts)}"
@@ -320,8 +373,13 @@ def _sumproduct(plan: _Plan, *names: str) -> Value:
 
 
 def _index(plan: _Plan, name: str, found: _Found) -> Value:
-    if not isinstance(found, _Found):
-        raise NotImplementedError("INDEX without MATCH: rows have no numbers")
+    if isinstance(found, Value):
+        # a row by its number; outside of the table it is an error
+        out = f"_number{len(plan.numbers)}"
+        plan.rows = True
+        at = F.floor(found.number()).cast("long")
+        plan.numbers.append((out, at, name))
+        return Value(F.col(out), plan.column(name).kind)
     out = f"_found{len(plan.lookups)}"
     plan.lookups.append((out, name, found.name, found.key))
     # no such row is an error; a blank cell there reads as blank, which IFERROR takes for an error too
@@ -341,13 +399,43 @@ _WHOLE = {
     "SUMPRODUCT": _sumproduct,
     "INDEX": _index,
     "COUNTA": lambda p, n: p.total(F.count(F.col(f"`{n}`"))),
-    "SUM": lambda p, n: p.total(F.coalesce(F.sum(p.column(n).c.try_cast("decimal(38,6)")), F.lit(0))),
-    "AVERAGE": lambda p, n: p.total(F.avg(p.column(n).c.try_cast("decimal(30,6)"))),
-    "MIN": lambda p, n: p.total(F.coalesce(F.min(number_of(F.col(f"`{n}`"))), F.lit(0.0))),
-    "MAX": lambda p, n: p.total(F.coalesce(F.max(number_of(F.col(f"`{n}`"))), F.lit(0.0))),
 }
 
 
+#: Functions of cells and whole columns together.
+_CELLS = ("SUM", "AVERAGE", "MIN", "MAX")
+
+
+def _cells(plan: _Plan, name: str, args: list) -> Value:
+    """SUM, AVERAGE, MIN or MAX of whole columns, cells and values. Texts and blanks in cells and columns are left out."""
+    sums, counts, ends = [], [], []
+    pick = F.min if name == "MIN" else F.max
+    for a in args:
+        if isinstance(a, str):
+            c = plan.column(a)
+            n = c.c.try_cast("decimal(30,6)") if c.kind == "number" else F.lit(None).cast("decimal(30,6)")
+            if name in _CELLS[:2]:
+                sums.append(plan.total(F.coalesce(F.sum(n), F.lit(0))).c.cast("double"))
+                counts.append(plan.total(F.count(n)).c)
+            else:
+                ends.append(plan.total(pick(number_of(F.col(f"`{a}`")) if c.kind == "number" else F.lit(None).cast("double"))).c)
+        else:
+            n = F.lit(None).cast("double") if a.blank and a.kind in ("text", "logical") else (sheet.serial(a.c) if a.kind == "date" else a.c).cast("double") if a.blank else a.number()
+            sums.append(F.coalesce(n, F.lit(0.0)))
+            counts.append(n.isNotNull().cast("int"))
+            ends.append(n)
+    add = lambda cs: reduce(lambda x, y: x + y, cs)
+    failed = add([F.lit(0), *((a.number().isNull()).cast("int") for a in args if not isinstance(a, str) and not a.blank)]) > 0
+    if name == "SUM":
+        out = add(sums)
+    elif name == "AVERAGE":
+        out = F.try_divide(add(sums), add(counts))
+    else:
+        both = ends if len(ends) > 1 else ends * 2
+        out = F.coalesce(F.least(*both) if name == "MIN" else F.greatest(*both), F.lit(0.0))
+    return Value(F.when(~failed, out), "number")
+
+
 def with_formula(df: DataFrame, name: str, formula: str, order: list[str] | None = None) -> DataFrame:
     """df with a column computed by the formula. Totals of whole columns come as one broadcast row; COUNTIF and COUNTIFS by cells and INDEX with MATCH
     join a table of one row a key. order: the columns that tell which row is first for MATCH (all columns unless given)."""
@@ -358,8 +446,20 @@ def with_formula(df: DataFrame, name: str, formula: str, order: list[str] | None
     if reader.i != len(reader.tokens):
         raise SyntaxError(f"unread: {reader.tokens[reader.i - 1:]}")
     if isinstance(value, _Found):
-        raise NotImplementedError("MATCH without INDEX: rows have no numbers")
+        # MATCH by itself gives the number of the row
+        at = f"_found{len(plan.lookups)}"
+        plan.rows = True
+        plan.lookups.append((at, _ROW, value.name, value.key))
+        value = Value(F.col(at), "number")
+    if plan.rows:
+        if not order or len(order) != 1:
+            raise ValueError("rows are numbered by one number column that no two of them share: give it as order")
+        plan.df = df = kept(numbered(df, order[0], _ROW))
     out = df
+    for at, column, sign, want in plan.compares:
+        out = _compared(out, df, at, plan.column(column), sign, want)
+    for at, row, column in plan.numbers:
+        out = out.withColumn("_want", row).join(df.select(F.col(_ROW).alias("_at"), F.col(f"`{column}`").alias(at)), F.col("_want") == F.col("_at"), "left").drop("_want", "_at")
     for at, pairs, where in plan.counts:
         keys = [f"_key{i}" for i in range(len(pairs))]
         n = (df if where is None else df.where(where)).groupBy(*(F.lower(plan.column(c).text()).alias(k) for (c, _), k in zip(pairs, keys, strict=True))).agg(F.count(F.lit(1)).alias(at))
@@ -371,7 +471,26 @@ def with_formula(df: DataFrame, name: str, formula: str, order: list[str] | None
         out = _joined(out, n, ["_key0"], [key])
     if plan.totals:
         out = out.crossJoin(F.broadcast(df.agg(*(c.alias(n) for n, c in plan.totals.items()))))  # one row
-    return out.select(*df.columns, value.c.alias(name))
+    return out.select(*(F.col(f"`{c}`") for c in df.columns if c != _ROW), value.c.alias(name))
+
+
+#: The number of a row where a formula asks for one.
+_ROW = "_row"
+
+
+def _compared(out: DataFrame, df: DataFrame, at: str, column: Value, sign: str, want: Column) -> DataFrame:
+    """out with the number of rows whose number in the column compares so with this row's. Values and wants are put in one order and counted up range by range, so that a
+    row meets its count by equality."""
+    out = out.withColumn("_want", want.cast("double"))
+    n = number_of(column.c).cast("double") if column.kind in ("number", "text") else F.lit(None).cast("double")
+    values = df.select(n.alias("_v")).where("_v IS NOT NULL").groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
+    wants = out.select(F.col("_want").alias("_v")).where("_v IS NOT NULL").distinct().withColumn("_n", F.lit(0).cast("long"))
+    each = values.unionByName(wants).groupBy("_v").agg(F.sum("_n").alias("_n"))
+    each = running(kept(each), "_v", "_n", "_below")
+    all_ = df.agg(F.count(n).alias("_all"), F.count(F.lit(1)).alias("_rows"))
+    up = {"<": F.col("_below"), "<=": F.col("_below") + F.col("_n"), ">": F.col("_all") - F.col("_below") - F.col("_n"), ">=": F.col("_all") - F.col("_below"), "=": F.col("_n"), "<>": F.col("_rows") - F.col("_n")}
+    counted = each.crossJoin(F.broadcast(all_)).select(F.col("_v"), up[sign].alias(at))  # one row
+    return out.join(counted, F.col("_want") == F.col("_v"), "left").drop("_v", "_want")
 
 
 def _joined(out: DataFrame, n: DataFrame, keys: list[str], wants: list[Column]) -> DataFrame:

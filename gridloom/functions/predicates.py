@@ -12,27 +12,36 @@ from gridloom.functions.text import all_of, any_of, is_blank, number_of
 _COMPARE = {">=": lambda a, b: a >= b, "<=": lambda a, b: a <= b, ">": lambda a, b: a > b, "<": lambda a, b: a < b, "==": lambda a, b: a == b}
 
 
+#: What a user types for blank and not blank cells, and what counts as a number there.
+_BLANK, _FILLED = ("∅", "(空白)"), ("!∅", "(非空白)")
+_PLAIN_NUMBER = r"-?\d+(?:\.\d+)?"
+_CELL_NUMBER = r"^\s*-?\d+(\.\d+)?([eE][-+]?\d+)?\s*$"
+
+
+def cell_number(c: Column) -> Column:
+    """A number or a text that reads as a decimal number, else NULL."""
+    s = c.cast("string")
+    return F.when(s.rlike(_CELL_NUMBER), F.trim(s).try_cast("double"))
+
+
 def compile_filter(text: str, c: Column) -> Column | None:
-    """One column's filter. Order matters: blanks, numeric comparison, then quoted, equal, not, prefix, and contains; ='5' compares text, =='5' numbers."""
+    """One column's filter. Order matters: blanks, comparison with a plain decimal number, text in a pair of quotes, equal, not, prefix, contains.
+    ='5' compares text, =='5' numbers; what follows a sign is taken as it is, inner blanks included."""
     t = text.strip()
     s = F.lower(F.coalesce(c.cast("string"), F.lit("")))
     if not t:
         return None
-    if t in ("∅", "(空白)", "(blank)"):
+    if t in _BLANK:
         return is_blank(c)
-    if t == "!∅":
+    if t in _FILLED:
         return ~is_blank(c)
-    if m := re.fullmatch(r"(>=|<=|==|>|<)\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)", t):
-        return F.coalesce(_COMPARE[m[1]](number_of(c), F.lit(float(m[2]))), F.lit(False))
-    if t[0] == '"':
-        return s.contains(t.strip('"').lower())
-    if t[0] == "=":
-        return s == t[1:].strip().lower()
-    if t[0] == "!":
-        return ~s.contains(t[1:].strip().lower())
-    if t[0] == "^":
-        return s.startswith(t[1:].strip().lower())
-    return s.contains(t.lower())
+    if m := re.fullmatch(rf"([<>]=?|==)\s*({_PLAIN_NUMBER})", t):
+        return F.coalesce(_COMPARE[m[1]](cell_number(c), F.lit(float(m[2]))), F.lit(False))
+    low = t.lower()
+    if len(t) > 1 and t[0] == t[-1] == '"':
+        return s.contains(low[1:-1])
+    signs = {"=": lambda rest: s == rest, "!": lambda rest: ~s.contains(rest), "^": lambda rest: s.startswith(rest)}
+    return signs[t[0]](low[1:]) if t[0] in signs else s.contains(low)
 
 
 def compile_filters(df: DataFrame, filters: dict[str, str]) -> dict[str, Column]:
@@ -101,7 +110,7 @@ def criterion(text: str, c: Column) -> Column:
 
 
 def card_rule(rule: dict, row: dict[str, Column]) -> Column:
-    """A rule in JSON form: any, all, eq, ne, startsWith, contains, nonempty, empty, gt, lt."""
+    """A rule in JSON form: any, all, eq, ne, startsWith, contains, nonempty, empty, gt, lt, count_gt (of a list column)."""
     (kind, arg), *_ = rule.items()
     if kind in ("any", "all"):
         return (any_of if kind == "any" else all_of)([card_rule(r, row) for r in arg])
@@ -109,6 +118,8 @@ def card_rule(rule: dict, row: dict[str, Column]) -> Column:
         blank = is_blank(row[arg])
         return blank if kind == "empty" else ~blank
     name, value = arg
+    if kind == "count_gt":
+        return F.coalesce(F.size(row[name]) > int(value), F.lit(False))
     s, n = F.coalesce(row[name].cast("string"), F.lit("")), number_of(row[name])
     made = {"eq": lambda: s == str(value), "ne": lambda: s != str(value), "startsWith": lambda: s.startswith(str(value)), "contains": lambda: s.contains(str(value)), "gt": lambda: n > float(value), "lt": lambda: n < float(value)}
     return F.coalesce(made[kind](), F.lit(False))

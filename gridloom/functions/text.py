@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Full-width forms and their ASCII counterparts.
@@ -48,10 +48,24 @@ def number_of(c: Column) -> Column:
     return F.when(s.rlike(NUMERIC), F.trim(s).try_cast("double"))
 
 
-def csv_safe(c: Column) -> Column:
-    """A CSV field: text that a spreadsheet would run as a formula gets a quote before it; quoted where needed."""
-    s = F.when(c.rlike(r"^[=+\-@\t\r]") & ~c.rlike(NUMERIC), F.concat(F.lit("'"), c)).otherwise(c)
-    return F.when(s.rlike('[",\r\n]'), F.concat(F.lit('"'), F.replace(s, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(F.coalesce(s, F.lit("")))
+#: Texts that a spreadsheet would turn into other numbers or dates when it opens a CSV file.
+_SPOILED = [r"^0\d+$", r"^\d+[eE][+-]?\d+$", r"^\d{16,}$", r"^\d{1,4}([-/])\d{1,2}(?:\1\d{1,4})?(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?$", r"^\d{1,4}\.\d{1,2}\.\d{1,4}$", r"^\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?$"]
+
+
+def csv_safe(c: Column, is_text: bool = True) -> Column:
+    """A CSV field. Text that a spreadsheet would run as a formula gets a quote before it, text that it would turn into another number or a date is
+    written as ="..."; quoted where it holds quotes, commas or line ends or has white space at an end. Numbers and logical values go as they are."""
+    if not is_text:
+        return F.coalesce(F.upper(c.cast("string")) if is_text is None else c.cast("string"), F.lit(""))
+    s = F.when(c.rlike(r"^[=+\-@]"), F.concat(F.lit("'"), c)).otherwise(c)
+    quoted = F.concat(F.lit('"'), F.replace(s, F.lit('"'), F.lit('""')), F.lit('"'))
+    spoiled = any_of([c.rlike(p) for p in _SPOILED])
+    return F.when(spoiled, F.concat(F.lit('"=""'), c, F.lit('"""'))).when(s.rlike('[",\r\n]') | s.rlike(r"^\s|\s$"), quoted).otherwise(F.coalesce(s, F.lit("")))
+
+
+def csv_row(df: DataFrame) -> Column:
+    """The columns of a row as one CSV line, each by its type."""
+    return F.concat_ws(",", *(csv_safe(F.col(f"`{n}`") if t == "string" else F.col(f"`{n}`").cast("string"), True if t in ("string", "date") or t.startswith("timestamp") else None if t == "boolean" else False) for n, t in df.dtypes))
 
 
 def ipv4(c: Column) -> Column:
@@ -65,9 +79,13 @@ def flags(c: Column, names: list[str]) -> Column:
     return F.array_join(F.array_compact(F.array(*(F.when(F.shiftright(c.cast("long"), i).bitwiseAND(F.lit(1).cast("long")) == 1, F.lit(n)) for i, n in enumerate(names)))), ",")
 
 
+#: Fixed value: a unit's prefix, repeated or not.
+UNIT_PREFIX = r"^(?:[GCS](?:XX|X0|\d\d))+"
+
+
 def core_of(c: Column) -> Column:
-    """A tag without its repeated unit prefixes."""
-    return F.regexp_replace(c, r"^(?:[GCS](?:XX|X0|\d\d))+", "")
+    """A tag without its unit prefixes."""
+    return F.regexp_replace(c, UNIT_PREFIX, "")
 
 
 def canonical_id(c: Column) -> Column:
@@ -107,11 +125,18 @@ def excerpt(c: Column, term: str, width: int = 150) -> Column:
 
 
 def significant7(c: Column) -> Column:
-    """Seven significant digits; whole numbers below 1e15 as they are."""
-    x = c.cast("double")
-    digits = F.lit(6) - F.floor(F.log10(F.abs(x)))
-    shown = F.when(x == 0, F.lit(0.0)).when((x == F.floor(x)) & (F.abs(x) < 1e15), x).otherwise(F.round(x * F.pow(F.lit(10.0), digits)) / F.pow(F.lit(10.0), digits))
-    return F.when(x.isNotNull(), shown)
+    """Seven significant digits as text, without trailing zeros; with an exponent from 1e7 on and below 1e-4."""
+    return F.transform(F.array(c.cast("double")), lambda x: F.transform(F.array(F.format_string("%.6e", x)), lambda shown: _seven(x, shown))[0])[0]
+
+
+def _seven(x: Column, shown: Column) -> Column:
+    power = F.regexp_extract(shown, r"e([+-]\d+)$", 1).try_cast("int")
+    bare = lambda s: F.regexp_replace(F.regexp_replace(s, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    mantissa = bare(F.regexp_extract(shown, r"^(-?[\d.]+)e", 1))
+    with_power = F.concat(mantissa, F.lit("e"), F.when(power < 0, "-").otherwise("+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
+    short = F.abs(power).cast("string")
+    with_power = F.when(F.length(short) > 2, F.concat(mantissa, F.lit("e"), F.when(power < 0, "-").otherwise("+"), short)).otherwise(with_power)
+    return F.when(x == 0, "0").when((power < -4) | (power >= 7), with_power).when(x.isNotNull(), bare(shown.try_cast("decimal(38,18)").cast("string")))
 
 
 def any_of(conditions: list[Column]) -> Column:

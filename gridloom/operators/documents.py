@@ -10,6 +10,8 @@ from pyspark.sql.window import Window as W
 MOST, PAGES = 16, 6
 #: Terms that are sent to all tasks; more are shuffled.
 SENT = 100_000
+#: Phrases of one or two words that are sent to all tasks.
+SHORT = 5_000
 
 _WORD = r"[A-Za-z0-9]+"
 
@@ -35,11 +37,14 @@ def page_hits(pages: DataFrame, terms: DataFrame) -> DataFrame:
     # distinct within a page before rows multiply, so nothing is shuffled ahead of the join
     heads = pages.select("doc", "page", F.explode(F.array_distinct(F.flatten(F.transform(F.array_distinct(words), cut)))).alias("_head"))
     few = terms.limit(SENT + 1).count() <= SENT
-    near = heads.join(F.broadcast(terms) if few else terms, "_head").select("doc", "page", "entity", "term", "kind", "_t")
-    met = near.join(pages.select("doc", "page", "trust", "text"), ["doc", "page"]).where((F.col("kind") != "tag") | (F.col("trust") >= 2))
+    near = heads.join(F.broadcast(terms) if few else terms, "_head").select("doc", "page", F.struct("entity", "term", "kind", "_t").alias("t"))
+    # a text is met once, by all its candidates, and most of them are gone before rows multiply
+    listed = near.groupBy("doc", "page").agg(F.collect_list("t").alias("_all"))
+    held = F.filter("_all", lambda t: F.contains(F.upper(F.col("text")), t["_t"]) & ((t["kind"] != "tag") | (F.col("trust") >= 2)))
+    met = pages.select("doc", "page", "trust", "text").join(listed, ["doc", "page"]).select("doc", "page", "trust", "text", F.explode(held).alias("t")).select("doc", "page", "trust", "text", "t.*")
     quoted = F.concat(F.lit(r"(?iu)(?<![A-Z0-9])\Q"), F.replace("term", F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
     loose = F.when(F.col("kind") == "tag", F.lit("(?![0-9])")).otherwise(F.lit("(?![A-Z0-9])"))
-    met = met.where(F.contains(F.upper("text"), F.col("_t")) & F.regexp_like("text", F.concat(quoted, loose)))
+    met = met.where(F.regexp_like("text", F.concat(quoted, loose)))
     return met.select("doc", "page", "trust", "entity", "term", "kind", F.regexp_like("text", F.concat(quoted, F.lit(r"(?![A-Z0-9_\-])"))).alias("exact"))
 
 
@@ -66,3 +71,43 @@ def entity_documents(hits: DataFrame, docs: DataFrame, order: list[Column], keep
     best = best.withColumn("_in", F.col("place") <= limit)
     best = best.withColumn("_at", F.sum(F.col("_in").cast("int")).over(W.partitionBy("entity").orderBy("category", "place")))
     return best.select("entity", "category", "place", "doc", "term", "exact", "hits", "pages", (F.col("_in") & (F.col("_at") <= most)).alias("shown"), "alternates")
+
+
+#: Words in a row by which phrases and texts meet.
+RUN = 4
+
+
+def _runs(k: int) -> Column:
+    """The hash of each k words in a row of _w."""
+    each = F.transform(F.sequence(F.lit(1), F.size("_w") - k + 1), lambda i: F.xxhash64(F.slice("_w", i, F.lit(k))))
+    return F.when(F.size("_w") >= k, each).otherwise(F.array().cast("array<bigint>"))
+
+
+def phrase_hits(docs: DataFrame, phrases: DataFrame) -> DataFrame:
+    """docs (doc_id, text), phrases (phrase) -> doc_id, phrase, n: texts that hold a phrase as it stands, wherever it begins or ends; n: how often the phrase is listed.
+
+    A phrase's inner words stand whole in any text that holds it, so phrases and texts meet by a hash of up to RUN inner words in a row, and only candidates meet
+    texts again. Phrases of fewer than three words have none: they are looked for in every text, in one list that is sent while it is small.
+    """
+    words = lambda c: F.filter(F.split(c, r"\s+"), lambda w: w != "")
+    p = phrases.where("phrase IS NOT NULL").groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).withColumn("_w", words(F.col("phrase")))
+    p = p.withColumn("_size", F.least(F.greatest(F.size("_w") - 2, F.lit(0)), F.lit(RUN))).withColumn("_head", F.when(F.col("_size") > 0, F.xxhash64(F.slice("_w", 2, F.greatest("_size", F.lit(1))))))
+    sizes = [r[0] for r in p.select("_size").distinct().collect()]  # RUN + 1 at most
+    texts = docs.where("text IS NOT NULL").select("doc_id", "text")
+    out = None
+    if any(sizes):
+        heads = p.where("_size > 0").select("_head", "phrase", "n")
+        split = texts.select("doc_id", words(F.col("text")).alias("_w"))
+        grams = split.select("doc_id", F.explode(F.array_distinct(F.concat(*(_runs(k) for k in sizes if k)))).alias("_head"))
+        few = heads.limit(SENT + 1).count() <= SENT
+        near = grams.join(F.broadcast(heads) if few else heads, "_head").select("doc_id", "phrase", "n")
+        out = texts.join(near, "doc_id").where(F.contains("text", "phrase")).select("doc_id", "phrase", "n").distinct()
+    if 0 in sizes:
+        short = p.where("_size = 0").select("phrase", "n")
+        if short.limit(SHORT + 1).count() <= SHORT:
+            one = F.broadcast(short.agg(F.collect_list(F.struct("phrase", "n")).alias("_all")))  # one row of SHORT phrases at most
+            found = texts.crossJoin(one).select("doc_id", F.explode(F.filter("_all", lambda x: F.contains(F.col("text"), x["phrase"]))).alias("x")).select("doc_id", "x.phrase", "x.n")
+        else:
+            found = texts.join(short, F.contains("text", "phrase")).select("doc_id", "phrase", "n")
+        out = found.distinct() if out is None else out.unionByName(found.distinct())
+    return out if out is not None else texts.select("doc_id", F.lit("").alias("phrase"), F.lit(0).cast("long").alias("n")).limit(0)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from itertools import pairwise
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from gridloom.functions.text import compact, norm
-from gridloom.session import ship
+from gridloom.session import kept, ship
 
 
 def resolve(queries: DataFrame, index: DataFrame) -> DataFrame:
@@ -29,13 +33,29 @@ def resolve(queries: DataFrame, index: DataFrame) -> DataFrame:
     return found.withColumn("rn", best).where("rn = 1").select("q", "alias", "rule")
 
 
+def grams(c: str, n: int) -> Column:
+    """The different runs of n characters of a text."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda p: F.substring(c, p, F.lit(n))))
+
+
+def containing(queries: DataFrame, index: DataFrame) -> DataFrame:
+    """q, key, kind (0 equal, 1 prefix, 2 elsewhere): keys that hold a query, case aside. A query of three characters or more meets the keys by its first three as
+    they stand anywhere in a key, shorter ones by what they have, so it is an equi-join."""
+    q = queries.select("q", F.lower("q").alias("ql")).distinct()
+    n = F.least(F.length("ql"), F.lit(3))
+    keys = index.select("key").distinct().withColumn("_low", F.lower("key"))
+    out = None
+    for size in (1, 2, 3):
+        some = q.where(n == size).withColumn("_g", F.substring("ql", 1, size))
+        met = keys.where(F.length("_low") >= size).select("key", "_low", F.explode(grams("_low", size)).alias("_g"))
+        hit = met.join(some, "_g").where(F.expr("contains(_low, ql)")).select("q", "key", F.when(F.col("_low") == F.col("ql"), 0).when(F.col("_low").startswith(F.col("ql")), 1).otherwise(2).alias("kind"))
+        out = hit if out is None else out.unionByName(hit)
+    return out.distinct()
+
+
 def suggest(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
-    """q, key, kind, position: exact, prefix, then substring matches, k at most for each query; a query list is small, the index is not moved."""
-    q = queries.select("q", F.lower("q").alias("ql"))
-    hit = index.join(F.broadcast(q), F.expr("contains(lower(key), ql)"))
-    kind = F.when(F.lower("key") == F.col("ql"), 0).when(F.lower("key").startswith(F.col("ql")), 1).otherwise(2)
-    ranked = hit.select("q", "key", kind.alias("kind")).distinct()
-    return ranked.withColumn("position", F.row_number().over(W.partitionBy("q").orderBy("kind", "key"))).where(F.col("position") <= k)
+    """q, key, kind, position: exact, prefix, then substring matches, k at most for each query."""
+    return containing(queries, index).withColumn("position", F.row_number().over(W.partitionBy("q").orderBy("kind", "key"))).where(F.col("position") <= k)
 
 
 def two_tier(left: DataFrame, right: DataFrame, exact: str, family: str) -> DataFrame:
@@ -56,6 +76,19 @@ def numbered(df: DataFrame, key: str, name: str, ranges: int = 256) -> DataFrame
     return rows.withColumn(name, before[F.col("_range")] + F.row_number().over(W.partitionBy("_range").orderBy(key))).drop("_range")
 
 
+def running(df: DataFrame, key: str, amount: str, name: str) -> DataFrame:
+    """df with name, the sum of amount over the rows before each in the order of a key that no two rows share. Rows lie in ranges of the key, each counted from the sum of those before it."""
+    rows = kept(df.repartitionByRange(key).withColumn("_range", F.spark_partition_id()))
+    sizes = {r: n for r, n in rows.groupBy("_range").agg(F.sum(amount)).collect()}  # as many rows as ranges
+    start, at = [], 0
+    for r in sorted(sizes):
+        start += [F.lit(r), F.lit(at)]
+        at += sizes[r] or 0
+    base = F.try_element_at(F.create_map(*start), F.col("_range")) if start else F.lit(0)
+    inside = F.sum(amount).over(W.partitionBy("_range").orderBy(key).rowsBetween(W.unboundedPreceding, -1))
+    return rows.withColumn(name, base + F.coalesce(inside, F.lit(0))).drop("_range")
+
+
 def positional(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
     """i, a, b, reason: the rows of both tables in the order of their keys a and b, side by side."""
     reason = F.when(F.col(a).isNull(), "left missing").when(F.col(b).isNull(), "right missing").when(F.col(a) != F.col(b), "differs").otherwise("same")
@@ -63,23 +96,30 @@ def positional(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def paths(edges: DataFrame, roots: DataFrame, most: int = 16) -> DataFrame:
-    """edges (child, parent, name), roots (node, name) -> node, path, depth. A join for each level, at most `most`; levels are bounded by the tree, not by rows."""
+    """edges (child, parent, name), roots (node, name) -> node, path, depth. A join for each level, at most `most`; a level is written before the next one
+    grows from it, so none is computed twice, and the walk ends with the first level that is empty."""
     level = roots.select("node", F.col("name").alias("path"), F.lit(0).alias("depth"))
     out = level
     for depth in range(1, most + 1):
-        level = edges.join(level.select(F.col("node").alias("parent"), F.col("path").alias("up")), "parent").select(F.col("child").alias("node"), F.concat_ws("/", "up", "name").alias("path"), F.lit(depth).alias("depth"))
+        level = kept(edges.join(level.select(F.col("node").alias("parent"), F.col("path").alias("up")), "parent").select(F.col("child").alias("node"), F.concat_ws("/", "up", "name").alias("path"), F.lit(depth).alias("depth")))
+        if level.isEmpty():
+            break
         out = out.unionByName(level)
     return out
 
 
 def hops(edges: DataFrame, start: DataFrame, most: int) -> DataFrame:
-    """edges (a, b), start (node) -> node, target, hops: fewest hops to every node within `most`, each level collapsed before the next."""
-    level = start.select("node", F.col("node").alias("target"), F.lit(0).alias("hops"))
-    out = level
+    """edges (a, b), start (node) -> node, target, hops: fewest hops to every node within `most`. Each level holds only what no level before it reached."""
+    known = start.select("node", F.col("node").alias("target")).distinct()
+    level, out = known, None
     for n in range(1, most + 1):
-        level = level.join(edges, F.col("target") == F.col("a")).select("node", F.col("b").alias("target"), F.lit(n).alias("hops")).distinct()
-        out = out.unionByName(level)
-    return out.groupBy("node", "target").agg(F.min("hops").alias("hops")).where("hops > 0")
+        level = kept(level.join(edges, F.col("target") == F.col("a")).select("node", F.col("b").alias("target")).distinct().join(known, ["node", "target"], "left_anti"))
+        if level.isEmpty():
+            break
+        known = known.unionByName(level)
+        step = level.withColumn("hops", F.lit(n))
+        out = step if out is None else out.unionByName(step)
+    return out if out is not None else known.limit(0).withColumn("hops", F.lit(0))
 
 
 def majority(votes: DataFrame, keys: list[str], choice: str) -> DataFrame:
@@ -102,55 +142,64 @@ def revision_key(c: Column) -> Column:
 
 
 def osa_distance(a: Column, b: Column, most: int) -> Column:
-    """Edit distance with adjacent transpositions, most + 1 beyond the cap; Arrow batches, as Spark's levenshtein has no transposition."""
-    def one(x: str | None, y: str | None) -> int | None:
-        if x is None or y is None:
-            return None
-        if abs(len(x) - len(y)) > most:
-            return most + 1
-        back, last = [], list(range(len(y) + 1))
-        for i, cx in enumerate(x, 1):
-            row = [i]
-            for j, cy in enumerate(y, 1):
-                d = min(last[j] + 1, row[-1] + 1, last[j - 1] + (cx != cy))
-                if i > 1 and j > 1 and cx == y[j - 2] and x[i - 2] == cy:
-                    d = min(d, back[j - 2] + 1)
-                row.append(d)
-            if min(row) > most:
-                return most + 1
-            back, last = last, row
-        return min(last[-1], most + 1)
+    """Edit distance with adjacent transpositions, most + 1 beyond the cap. A transposition is two edits to Spark's levenshtein, which so never exceeds twice this distance:
+    the JVM settles equal and far pairs, and only what lies between goes to Python in Arrow batches."""
 
     @F.pandas_udf("int")
     def osa(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([one(p, q) for p, q in zip(x, y, strict=True)], dtype="Int32")
-
-    return osa(a, b)
+        return pd.Series([None if p is None or q is None else _banded(p, q, most) for p, q in zip(x, y, strict=True)], dtype="Int32")
+
+    far = F.levenshtein(a, b, 2 * most) < 0
+    some = F.when(a.isNotNull() & b.isNotNull() & (a != b) & ~far, a)
+    return F.when(a == b, 0).when(far, most + 1).otherwise(osa(some, b))
+
+
+def _banded(x: str, y: str, most: int) -> int:
+    """The distance over the diagonals -most to most alone: cells further off cost more than the cap."""
+    over = most + 1
+    rows = [{j: j for j in range(min(len(y), most) + 1)}]
+    for i in range(1, len(x) + 1):
+        row = {}
+        for j in range(max(0, i - most), min(len(y), i + most) + 1):
+            ways = [rows[i - 1].get(j, over) + 1, row.get(j - 1, over) + 1]
+            if j:
+                ways.append(rows[i - 1].get(j - 1, over) + (x[i - 1] != y[j - 1]))
+            if i > 1 and j > 1 and x[i - 2 : i] == y[j - 2 : j][::-1]:
+                ways.append(rows[i - 2].get(j - 2, over) + 1)
+            row[j] = min(over, *ways)
+        rows.append(row)
+    return rows[-1].get(len(y), over)
 
 
 def lcs_pairs(left: DataFrame, right: DataFrame, key: str, order: str, label: str) -> DataFrame:
-    """key, i, j, how: positions of a longest common subsequence of labels, and of gaps of equal length between them; one group a key."""
+    """key, i, j, how: a longest common subsequence of the labels of each key (Hunt and Szymanski: the longest strictly rising chain of places
+    that match), and of stretches of equal length between its pairs the rows one by one ('gap')."""
+
     def align(k: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         x, y = a.sort_values(order)[label].tolist(), b.sort_values(order)[label].tolist()
-        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-        for i in range(len(x) - 1, -1, -1):
-            for j in range(len(y) - 1, -1, -1):
-                best[i][j] = best[i + 1][j + 1] + 1 if x[i] == y[j] else max(best[i + 1][j], best[i][j + 1])
-        hits, i, j = [], 0, 0
-        while i < len(x) and j < len(y):
-            if x[i] == y[j]:
-                hits.append((i, j))
-                i, j = i + 1, j + 1
-            elif best[i + 1][j] >= best[i][j + 1]:
-                i += 1
-            else:
-                j += 1
-        out, ends = [], [(-1, -1), *hits, (len(x), len(y))]
-        for (p, q), (r, s) in zip(ends[:-1], ends[1:], strict=True):
-            if r - p == s - q:
-                out += [(p + d, q + d, "gap") for d in range(1, r - p)]
-            if r < len(x):
-                out.append((r, s, "label"))
+        at: dict = {}
+        for j, v in enumerate(y):
+            at.setdefault(v, []).append(j)
+        ends: list[int] = []  # the least j that ends a chain of each length
+        links: list[tuple] = []  # and the chain itself, as (i, j, rest)
+        for i, v in enumerate(x):
+            for j in reversed(at.get(v, [])):
+                n = bisect_left(ends, j)
+                link = (i, j, links[n - 1] if n else None)
+                if n == len(ends):
+                    ends.append(j)
+                    links.append(link)
+                elif j < ends[n]:
+                    ends[n], links[n] = j, link
+        pairs, link = [], links[-1] if links else None
+        while link:
+            pairs.append(link[:2])
+            link = link[2]
+        pairs = [(-1, -1), *reversed(pairs), (len(x), len(y))]
+        out = [(i, j, "label") for i, j in pairs[1:-1]]
+        for (i, j), (p, q) in pairwise(pairs):
+            if p - i == q - j:
+                out += [(i + n, j + n, "gap") for n in range(1, p - i)]
         return pd.DataFrame([(*k, *o) for o in out], columns=[key, "i", "j", "how"])
 
     ship(left.sparkSession)
@@ -159,14 +208,23 @@ def lcs_pairs(left: DataFrame, right: DataFrame, key: str, order: str, label: st
 
 
 def drop_overlaps(boxes: DataFrame, page: str, share: float) -> DataFrame:
-    """Boxes (id, x0, y0, x1, y1) by area, greatest first; one that an already kept box overlaps by `share` of its own area goes. Greedy, so a page at a time."""
+    """Boxes (id, x0, y0, x1, y1) by area, greatest first; one that an already kept box overlaps by `share` of its own area goes. Greedy, so a page at a time; a box looks
+    only at kept ones in the cells of a grid that it touches, as wide as the page's median box."""
+
     def greedy(df: pd.DataFrame) -> pd.DataFrame:
         df = df.assign(area=(df.x1 - df.x0) * (df.y1 - df.y0)).sort_values(["area", "id"], ascending=[False, True])
-        kept: list = []
+        cell = max(float(np.median(np.maximum(df.x1 - df.x0, df.y1 - df.y0))), 1e-9)
+        grid: dict = {}
+        stay = []
         for r in df.itertuples(index=False):
-            if not any(max(0, min(r.x1, k.x1) - max(r.x0, k.x0)) * max(0, min(r.y1, k.y1) - max(r.y0, k.y0)) >= share * r.area for k in kept):
-                kept.append(r)
-        return pd.DataFrame(kept, columns=df.columns).drop(columns="area")
+            cells = [(u, v) for u in range(int(r.x0 // cell), int(r.x1 // cell) + 1) for v in range(int(r.y0 // cell), int(r.y1 // cell) + 1)]
+            near = {k.id: k for c in cells for k in grid.get(c, ())}.values()
+            hidden = any(max(0, min(r.x1, k.x1) - max(r.x0, k.x0)) * max(0, min(r.y1, k.y1) - max(r.y0, k.y0)) >= share * r.area for k in near)
+            stay.append(not hidden)
+            if not hidden:
+                for c in cells:
+                    grid.setdefault(c, []).append(r)
+        return df[stay].drop(columns="area")
 
     ship(boxes.sparkSession)
     return boxes.groupBy(page).applyInPandas(greedy, boxes.schema)

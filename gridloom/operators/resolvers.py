@@ -8,6 +8,8 @@ from pyspark.sql.window import Window as W
 
 from gridloom.functions.text import compact, norm
 
+#: Ranks of candidates by containment and by token: behind every other one.
+CONTAINED, TOKEN = 1_000, 200_000
 _CANDIDATE = "array<struct<rank:int,via:string,key:string,unit:string>>"
 
 
@@ -30,7 +32,10 @@ def cascade(queries: DataFrame, candidates: list[Column], index: DataFrame, cove
     """
     c = F.explode(F.array_compact(F.concat(*candidates)).cast(_CANDIDATE)).alias("c")
     asked = queries.select("q", c).select("q", "c.rank", "c.via", F.col("c.key").alias("key"), "c.unit")
-    hit = asked.join(index, "key")
+    hit = asked.where(F.col("rank") != CONTAINED).join(index, "key")
+    # keys that the query contains: met by their first six characters, the longest first
+    inside = asked.where(F.col("rank") == CONTAINED).withColumnRenamed("key", "_gram").join(index, (F.col("_gram") == F.substring("key", 1, 6)) & (F.length("key") >= 6)).where(F.contains(compact(F.col("q")), F.col("key")))
+    hit = hit.unionByName(inside.withColumn("rank", F.lit(CONTAINED) + 100_000 - F.least(F.length("key"), F.lit(99_999))).select(*hit.columns))
     hit = hit.withColumn("_ok", F.coalesce(covers, F.lit(False)) | (F.col("unit") == "") if covers is not None else F.lit(True))
     if strict:
         hit = hit.where("_ok")
@@ -41,11 +46,11 @@ def cascade(queries: DataFrame, candidates: list[Column], index: DataFrame, cove
 
 
 def contained(c: Column, least: int = 6) -> Column:
-    """All substrings of `least` or more, as candidates for "the query contains a key"; queries are typed, so they are short."""
+    """Grams of `least` characters of the query, as candidates for "the query contains a key": every such key begins with one of them. within() sorts them out."""
     starts = F.sequence(F.lit(1), F.length(c) - least + 1)
-    runs = F.flatten(F.transform(starts, lambda p: F.transform(F.sequence(F.lit(least), F.length(c) - p + 1), lambda n: F.substring(c, p, n))))
-    ranked = F.transform(F.array_distinct(runs), lambda k: F.struct((F.lit(1000) - F.length(k)).cast("int").alias("rank"), F.lit("contain").alias("via"), k.alias("key"), F.lit("").alias("unit")))
-    return F.when(F.length(c) >= least, ranked).otherwise(F.array().cast(_CANDIDATE))
+    grams = F.array_distinct(F.transform(starts, lambda p: F.substring(c, p, F.lit(least))))
+    made = F.transform(grams, lambda k: F.struct(F.lit(CONTAINED).alias("rank"), F.lit("contain").alias("via"), k.alias("key"), F.lit("").alias("unit")))
+    return F.when(F.length(c) >= least, made).otherwise(F.array().cast(_CANDIDATE))
 
 
 def resolve_valves(queries: DataFrame, index: DataFrame) -> DataFrame:
@@ -56,7 +61,7 @@ def resolve_valves(queries: DataFrame, index: DataFrame) -> DataFrame:
     unit = matched(c, prefix, 1)
     ninety = F.when(matched(c, prefix, 2) == "90", F.concat(F.lit("90"), matched(c, prefix, 3)))
     token = F.transform(F.split(norm(F.col("q")), r"[_.\s]+"), lambda t: F.regexp_replace(compact(t), r"^L(?=\d\d[A-Z])", ""))
-    tokens = F.transform(F.filter(token, lambda t: (F.length(t) >= 4) & (t != c)), lambda t, i: F.struct((i + 2000).cast("int").alias("rank"), F.lit("token").alias("via"), t.alias("key"), F.lit("").alias("unit")))
+    tokens = F.transform(F.filter(token, lambda t: (F.length(t) >= 4) & (t != c)), lambda t, i: F.struct((i + TOKEN).cast("int").alias("rank"), F.lit("token").alias("via"), t.alias("key"), F.lit("").alias("unit")))
     ask = [
         candidate(1, "key", c),
         candidate(2, "suffix", matched(c, r"^(.{4,}?)(?:KH|MB|BG|XG|XS|XB)\d\d$", 1)),
@@ -112,21 +117,39 @@ def longest_prefix(signals: DataFrame, tags: DataFrame, least: int = 8) -> DataF
     return hit.groupBy("signal").agg(F.min_by("tag", "rank").alias("tag"), F.min("rank").alias("rank")).select("signal", "tag", F.when(F.col("rank") == 0, "R1").otherwise("R6").alias("rule"))
 
 
-#: Characters that a reader takes for one another, each way.
-CONFUSABLE = {"S": "5", "O": "0", "Q": "0", "I": "1", "L": "1", "B": "8", "Z": "2", "5": "S", "0": "OQ", "1": "IL", "8": "B", "2": "Z"}
+#: Digits that a letter may stand for and letters that a digit may stand for on scanned drawings, the shape of a core (L letter, D digit), middles that
+#: are no device but a diameter, pressure or the like.
+TO_DIGIT = {"O": "0", "Q": "0", "D": "0", "I": "1", "L": "1", "T": "17", "S": "5", "B": "8", "Z": "27", "G": "6", "A": "4"}
+TO_LETTER = {"0": "OQD", "1": "ILT", "5": "S", "8": "B", "2": "Z", "6": "G", "4": "A", "7": "TZ"}
+SHAPE = "LLLDDLLDDD"
+NO_DEVICE = ("DN", "PN", "NB", "NO", "OD", "ID")
 
 
-def repair(tokens: DataFrame, cores: DataFrame) -> DataFrame:
-    """tokens (token), cores (core) -> token, core, how: known as it is, or one substitution away from exactly one known core."""
-    other = F.create_map(*(F.lit(x) for kv in CONFUSABLE.items() for x in kv))
+def repair(tokens: DataFrame, cores: DataFrame, most: int = 2) -> DataFrame:
+    """tokens (token), cores (core) -> token, core, how, fixes: known as it is, or a core of the shape that the token can be read as by taking characters of the wrong class
+    for the ones they look like, `most` of them at most; where several known cores need equally few repairs, none is taken.
+
+    Each place has few readings, so a token's are spelled out place by place and meet the known cores in one equi-join.
+    """
+    both = lambda kind, table: F.create_map(*(F.lit(x) for k, v in table.items() for x in (k, v)))
+    digit, letter = both("D", TO_DIGIT), both("L", TO_LETTER)
     t = tokens.select("token").distinct()
-    at = t.select("token", F.posexplode(F.split("token", "")).alias("i", "ch"))
-    variants = at.where(F.try_element_at(other, F.col("ch")).isNotNull()).select("token", F.explode(F.split(F.try_element_at(other, F.col("ch")), "")).alias("to"), "i")
-    variants = variants.where("to <> ''").select("token", F.concat(F.substring("token", F.lit(1), F.col("i")), "to", F.substring("token", F.col("i") + 2, F.length("token"))).alias("core"))
     known = t.join(cores.select(F.col("core").alias("token")).distinct(), "token", "left_semi")
-    rest = variants.join(known, "token", "left_anti").join(cores.select("core").distinct(), "core")
-    one = rest.groupBy("token").agg(F.min("core").alias("core"), F.count_distinct("core").alias("n")).where("n = 1")
-    return known.select("token", F.col("token").alias("core"), F.lit("known").alias("how")).unionByName(one.select("token", "core", F.lit("repaired").alias("how")))
+    rest = t.where(F.length("token") == len(SHAPE)).join(known, "token", "left_anti")
+    readings = F.array(F.struct(F.lit("").alias("core"), F.lit(0).alias("fixes")))
+    for i, kind in enumerate(SHAPE):
+        ch = F.substring("token", i + 1, 1)
+        fits = ch.rlike("^[A-Z]$") if kind == "L" else ch.rlike("^[0-9]$")
+        other = F.coalesce(F.try_element_at(letter if kind == "L" else digit, ch), F.lit(""))
+        options = F.when(fits, F.array(F.struct(ch.alias("c"), F.lit(0).alias("n")))).otherwise(F.transform(F.filter(F.split(other, ""), lambda x: x != ""), lambda x: F.struct(x.alias("c"), F.lit(1).alias("n"))))
+        rest = rest.withColumn("_r", readings if i == 0 else F.col("_r")).withColumn("_o", options)
+        grown = F.flatten(F.transform("_r", lambda r: F.transform("_o", lambda o: F.struct(F.concat(r["core"], o["c"]).alias("core"), (r["fixes"] + o["n"]).alias("fixes")))))  # noqa: B023
+        rest = rest.withColumn("_r", F.filter(grown, lambda r: r["fixes"] <= most))
+    read = rest.select("token", F.explode("_r").alias("r")).select("token", "r.core", "r.fixes").where(~F.substring("core", 6, 2).isin(*NO_DEVICE))
+    hit = read.join(cores.select("core").distinct(), "core")
+    least = hit.groupBy("token").agg(F.min("fixes").alias("fixes")).join(hit, ["token", "fixes"])
+    one = least.groupBy("token", "fixes").agg(F.min("core").alias("core"), F.count_distinct("core").alias("n")).where("n = 1")
+    return known.select("token", F.col("token").alias("core"), F.lit("known").alias("how"), F.lit(0).alias("fixes")).unionByName(one.select("token", "core", F.lit("repaired").alias("how"), "fixes"))
 
 
 def serial_match(certs: DataFrame, entities: DataFrame) -> DataFrame:

@@ -45,25 +45,17 @@ def suggestions(spark, sf_dir):
     return entities.suggest(spark.createDataFrame([("brand#1",), ("BRAND#22",), ("#3",)], "q string"), index, 4)
 
 
-@query("""SELECT c_mktsegment AS key, list(DISTINCT n_name ORDER BY n_name) AS aliases, count(DISTINCT n_name) AS n FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1""")
+@query("""WITH f AS (SELECT c_mktsegment AS key, n_name, min(c_custkey) AS first FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1, 2) SELECT key, list(n_name ORDER BY first) AS aliases, count(*) AS n FROM f GROUP BY 1""")
 def alias_fanout(spark, sf_dir):
-    j = table(spark, sf_dir, "customer").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("n_nationkey") == F.col("c_nationkey"))  # nations are few
-    pairs = j.select(F.col("c_mktsegment").alias("key"), "n_name").distinct()
-    return pairs.groupBy("key").agg(F.array_sort(F.collect_list("n_name")).alias("aliases"), F.count(F.lit(1)).alias("n"))
-
-
-@query("""WITH l AS (SELECT p_partkey, p_name, p_brand FROM part WHERE p_partkey % 7 = 0), r AS (SELECT p_partkey AS id, p_name, p_brand FROM part WHERE p_partkey % 50 = 1),
-a AS (SELECT l.p_partkey, id AS match, 1 AS tier FROM l JOIN r USING (p_name)) SELECT * FROM a UNION ALL SELECT l.p_partkey, id, 2 FROM l JOIN r USING (p_brand) WHERE l.p_name NOT IN (SELECT p_name FROM r)""")
-def two_tier_match(spark, sf_dir):
-    p = table(spark, sf_dir, "part")
-    left = p.where("p_partkey % 7 = 0").select("p_partkey", "p_name", "p_brand")
-    right = p.where("p_partkey % 50 = 1").select(F.col("p_partkey").alias("id"), "p_name", "p_brand")
-    return entities.two_tier(left, right, "p_name", "p_brand").select("p_partkey", "match", "tier")
+    """All aliases of a key, in order of appearance."""
+    j = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
+    first = j.groupBy(F.col("c_mktsegment").alias("key"), "n_name").agg(F.min("c_custkey").alias("first"))
+    return first.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("first", "n_name"))), lambda x: x["n_name"]).alias("aliases"), F.count(F.lit(1)).alias("n"))
 
 
 @query("""WITH l AS (SELECT p_partkey, 'Supplier#' || lpad(p_partkey::VARCHAR, 9, '0') AS code, p_partkey % 100 AS family FROM part), r AS (SELECT s_suppkey AS id, s_name AS code, s_suppkey % 100 AS family FROM supplier),
 a AS (SELECT p_partkey, id AS match, 1 AS tier FROM l JOIN r USING (code)) SELECT * FROM a UNION ALL SELECT p_partkey, id, 2 FROM l JOIN r USING (family) WHERE l.code NOT IN (SELECT code FROM r)""")
-def two_tier_match_all(spark, sf_dir):
+def two_tier_match(spark, sf_dir):
     """All parts against all suppliers, by the whole code or else by its last two digits."""
     code = F.concat(F.lit("Supplier#"), F.lpad(F.col("p_partkey").cast("string"), 9, "0"))
     left = table(spark, sf_dir, "part").select("p_partkey", code.alias("code"), (F.col("p_partkey") % 100).alias("family"))
@@ -136,20 +128,14 @@ def fuzzy_names(spark, sf_dir):
     ship(spark)
     words = table(spark, sf_dir, "part").select(F.col("p_name").alias("name")).distinct()
     q = spark.createDataFrame([("blue blot",), ("bleu anvil",)], "q string")
-    near = words.join(F.broadcast(q), F.abs(F.length("q") - F.length("name")) <= 2)  # a typed query, never more than a few rows
+    # by length, so that it is an equi-join
+    near = words.withColumn("_n", F.explode(F.sequence(F.length("name") - 2, F.length("name") + 2))).join(q.withColumn("_n", F.length("q")), "_n").drop("_n")
     return near.withColumn("d", entities.osa_distance(F.col("q"), F.col("name"), 2)).where("d <= 2")
 
 
-@query("""WITH a AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS i FROM orders WHERE o_orderkey < 500), b AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS i FROM customer WHERE c_custkey < 400)
-SELECT i, o_orderkey, c_custkey, CASE WHEN o_orderkey IS NULL THEN 'left missing' WHEN c_custkey IS NULL THEN 'right missing' WHEN o_orderkey <> c_custkey THEN 'differs' ELSE 'same' END AS reason FROM a FULL JOIN b USING (i)""")
-def positional_audit(spark, sf_dir):
-    """The slice that its SQL names; positional_audit_all has the whole tables."""
-    return entities.positional(table(spark, sf_dir, "orders").where("o_orderkey < 500"), table(spark, sf_dir, "customer").where("c_custkey < 400"), "o_orderkey", "c_custkey")
-
-
 @query("""WITH a AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS i FROM orders), b AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS i FROM customer)
 SELECT i, o_orderkey, c_custkey, CASE WHEN o_orderkey IS NULL THEN 'left missing' WHEN c_custkey IS NULL THEN 'right missing' WHEN o_orderkey <> c_custkey THEN 'differs' ELSE 'same' END AS reason FROM a FULL JOIN b USING (i)""")
-def positional_audit_all(spark, sf_dir):
+def positional_audit(spark, sf_dir):
     return entities.positional(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"), "o_orderkey", "c_custkey")
 
 
@@ -160,7 +146,7 @@ def crosswalk_overrides(spark, sf_dir):
     drop = table(spark, sf_dir, "supplier").where("s_suppkey % 10 = 0").select("s_suppkey", F.lit("G12").alias("unit"))
     add = spark.createDataFrame([(0, "C10")], "s_suppkey long, unit string")
     notes = spark.createDataFrame([(5, "checked")], "s_suppkey long, note string")
-    return s.join(drop, ["s_suppkey", "unit"], "left_anti").unionByName(add).join(F.broadcast(notes), "s_suppkey", "left")  # notes are typed by hand
+    return s.join(drop, ["s_suppkey", "unit"], "left_anti").unionByName(add).join(notes, "s_suppkey", "left")
 
 
 @query("""WITH a AS (SELECT c_nationkey, list(DISTINCT c_mktsegment) AS x FROM customer WHERE c_acctbal > 5000 GROUP BY 1), b AS (SELECT c_nationkey, list(DISTINCT c_mktsegment) AS y FROM customer WHERE c_acctbal <= 0 GROUP BY 1)

@@ -29,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from gridloom.plans import document_queries, entity_queries, history_queries, resolver_queries, table_queries  # noqa: F401
+    from gridloom.plans import document_queries, entity_queries, history_queries, matching_queries, resolver_queries, sorting_queries, table_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import formats
 from gridloom.functions.formula import with_formula
-from gridloom.operators import resolvers, selection
+from gridloom.operators import entities, resolvers, selection
 from gridloom.plans.registry import query, table
 
 
@@ -76,27 +76,33 @@ def prefix_longest_match(spark, sf_dir):
     return resolvers.longest_prefix(signals, tags)
 
 
-@query("""WITH c AS (SELECT DISTINCT p_size || p_brand AS core FROM part WHERE p_size > 20), t(token) AS (VALUES ('3SBrand#13'), ('ZSBrand#12'), ('30Brand#1'), ('Z2Brand#11'), ('2ZBrand#11'), ('xxBrand#7')), k AS (SELECT token FROM t WHERE token IN (SELECT core FROM c)),
-f(a, b) AS (VALUES ('S', '5'), ('O', '0'), ('Q', '0'), ('I', '1'), ('L', '1'), ('B', '8'), ('Z', '2'), ('5', 'S'), ('0', 'O'), ('0', 'Q'), ('1', 'I'), ('1', 'L'), ('8', 'B'), ('2', 'Z')),
-v AS (SELECT token, substr(token, 1, i - 1) || b || substr(token, i + 1) AS core FROM (SELECT token, unnest(range(1, length(token) + 1)) AS i FROM t WHERE token NOT IN (SELECT token FROM k)) JOIN f ON substr(token, i, 1) = a)
-SELECT token, token AS core, 'known' AS how FROM k UNION ALL SELECT token, min(core), 'repaired' FROM v JOIN c USING (core) GROUP BY token HAVING count(DISTINCT core) = 1""")
+@query("""WITH p AS (SELECT p_partkey AS k, p_size, 'HAD' || lpad(p_size::VARCHAR, 2, '0') || 'BP' || lpad((p_partkey % 1000)::VARCHAR, 3, '0') AS core FROM part), c AS (SELECT DISTINCT core FROM p WHERE p_size > 10),
+d AS (SELECT k, substr(core, 1, (k % 10)::INT) || translate(substr(core, (k % 10 + 1)::INT, 1), '01245678DB', 'OIZASGTB08') || substr(core, (k % 10 + 2)::INT) AS t1 FROM p),
+t AS (SELECT DISTINCT CASE WHEN k % 3 = 0 THEN substr(t1, 1, (k * 7 % 10)::INT) || translate(substr(t1, (k * 7 % 10 + 1)::INT, 1), '01245678DB', 'OIZASGTB08') || substr(t1, (k * 7 % 10 + 2)::INT) ELSE t1 END AS token FROM d),
+f(kind, a, b) AS (VALUES ('D', 'O', '0'), ('D', 'Q', '0'), ('D', 'D', '0'), ('D', 'I', '1'), ('D', 'L', '1'), ('D', 'T', '17'), ('D', 'S', '5'), ('D', 'B', '8'), ('D', 'Z', '27'), ('D', 'G', '6'), ('D', 'A', '4'),
+ ('L', '0', 'OQD'), ('L', '1', 'ILT'), ('L', '5', 'S'), ('L', '8', 'B'), ('L', '2', 'Z'), ('L', '6', 'G'), ('L', '4', 'A'), ('L', '7', 'TZ')),
+r AS (SELECT token, core, generate_subscripts([1, 2, 3, 4, 5, 6, 7, 8, 9, 10], 1) AS i FROM t JOIN c ON length(token) = length(core) WHERE token NOT IN (SELECT core FROM c)),
+m AS (SELECT token, core, sum(CASE WHEN substr(token, i, 1) = substr(core, i, 1) THEN 0 WHEN f.a IS NOT NULL THEN 1 ELSE 100 END) AS fixes FROM r LEFT JOIN f ON f.kind = substr('LLLDDLLDDD', i, 1) AND f.a = substr(token, i, 1) AND contains(f.b, substr(core, i, 1))
+ GROUP BY 1, 2 HAVING sum(CASE WHEN substr(token, i, 1) = substr(core, i, 1) THEN 0 WHEN f.a IS NOT NULL THEN 1 ELSE 100 END) <= 2), o AS (SELECT token, min(fixes) AS fixes FROM m GROUP BY 1)
+SELECT token, token AS core, 'known' AS how, 0 AS fixes FROM t WHERE token IN (SELECT core FROM c) UNION ALL SELECT token, min(core), 'repaired', fixes::INT FROM o JOIN m USING (token, fixes) GROUP BY token, fixes HAVING count(*) = 1""")
 def scan_repair(spark, sf_dir):
-    cores = table(spark, sf_dir, "part").where("p_size > 20").select(F.concat(F.col("p_size").cast("string"), "p_brand").alias("core"))
-    return resolvers.repair(spark.createDataFrame([("3SBrand#13",), ("ZSBrand#12",), ("30Brand#1",), ("Z2Brand#11",), ("2ZBrand#11",), ("xxBrand#7",)], "token string"), cores)
+    """Codes of which one or two characters are read as others that look alike; those of small parts are not known."""
+    key = F.col("p_partkey")
+    p = table(spark, sf_dir, "part").select(key, "p_size", F.concat(F.lit("HAD"), F.lpad(F.col("p_size").cast("string"), 2, "0"), F.lit("BP"), F.lpad((key % 1000).cast("string"), 3, "0")).alias("core"))
 
+    def damaged(c, at):
+        at = at.cast("int")
+        return F.concat(F.substring(c, F.lit(1), at), F.translate(F.substring(c, at + 1, F.lit(1)), "01245678DB", "OIZASGTB08"), F.substring(c, at + 2, F.length(c)))
 
-@query("""WITH e AS (SELECT s_suppkey AS entity, s_name AS tag, right(lpad((s_suppkey % 40)::VARCHAR, 7, '0'), 7) AS tail FROM supplier), c AS (SELECT c_custkey AS cert, 'Supplier' || substr(c_name, 9) AS tag, right(c_name, 7) AS tail FROM customer WHERE c_custkey < 300),
-c2 AS (SELECT cert, CASE WHEN cert % 2 = 0 THEN tag ELSE 'none' END AS tag, tail FROM c), u AS (SELECT tail, min(entity) AS entity FROM e GROUP BY tail HAVING count(*) = 1), t AS (SELECT cert, entity FROM c2 JOIN e USING (tag))
-SELECT cert, entity, 'tag' AS rule FROM t UNION ALL SELECT cert, entity, 'serial' FROM c2 JOIN u USING (tail) WHERE cert NOT IN (SELECT cert FROM t)""")
-def unique_fallback_match(spark, sf_dir):
-    """The certificates that its SQL names; unique_fallback_match_all has them all."""
-    return _certificates(spark, sf_dir, table(spark, sf_dir, "customer").where("c_custkey < 300"))
+    once = damaged(F.col("core"), key % 10)
+    tokens = p.select(F.when(key % 3 == 0, damaged(once, key * 7 % 10)).otherwise(once).alias("token"))
+    return resolvers.repair(tokens, p.where("p_size > 10").select("core").distinct())
 
 
 @query("""WITH e AS (SELECT s_suppkey AS entity, s_name AS tag, right(lpad((s_suppkey % 40)::VARCHAR, 7, '0'), 7) AS tail FROM supplier), c AS (SELECT c_custkey AS cert, 'Supplier' || substr(c_name, 9) AS tag, right(c_name, 7) AS tail FROM customer),
 c2 AS (SELECT cert, CASE WHEN cert % 2 = 0 THEN tag ELSE 'none' END AS tag, tail FROM c), u AS (SELECT tail, min(entity) AS entity FROM e GROUP BY tail HAVING count(*) = 1), t AS (SELECT cert, entity FROM c2 JOIN e USING (tag))
 SELECT cert, entity, 'tag' AS rule FROM t UNION ALL SELECT cert, entity, 'serial' FROM c2 JOIN u USING (tail) WHERE cert NOT IN (SELECT cert FROM t)""")
-def unique_fallback_match_all(spark, sf_dir):
+def unique_fallback_match(spark, sf_dir):
     return _certificates(spark, sf_dir, table(spark, sf_dir, "customer"))
 
 
@@ -122,14 +128,14 @@ def blended_suggestions(spark, sf_dir):
 
     from pyspark.sql.window import Window as W
 
-    q = F.broadcast(spark.createDataFrame([("00000001",), ("000000009",), ("0001",)], "q string"))  # typed queries
+    q = spark.createDataFrame([("00000001",), ("000000009",), ("0001",)], "q string")
     names = [
         table(spark, sf_dir, "customer").select(F.col("c_name").alias("key")),
         table(spark, sf_dir, "supplier").select(F.col("s_name").alias("key")),
         table(spark, sf_dir, "part").select(F.concat(F.lit("P"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")).alias("key")),
     ]
     top = F.row_number().over(W.partitionBy("q").orderBy("key"))
-    parts = [d.join(q, F.expr("contains(key, q)")).withColumn("position", top).where("position <= 12").withColumn("source", F.lit(i)) for i, d in enumerate(names)]
+    parts = [entities.containing(q, d).select("q", "key").withColumn("position", top).where("position <= 12").withColumn("source", F.lit(i)) for i, d in enumerate(names)]
     return selection.blend(reduce(lambda a, b: a.unionByName(b), parts))
 
 

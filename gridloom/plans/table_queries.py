@@ -4,11 +4,10 @@ from __future__ import annotations
 
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from gridloom.functions import sheet, text, units
 from gridloom.functions.predicates import card_rule, compile_filter, compile_filters, criterion, row_search, term_search, two_pass_search
-from gridloom.operators import facets, rules
+from gridloom.operators import documents, facets, matching, rules, sorting
 from gridloom.plans.registry import query, table
 
 
@@ -22,9 +21,7 @@ def table_live_facets(spark, sf_dir):
     return facets.live_facets(orders, filters, ["o_orderstatus", "o_orderpriority"])
 
 
-#: Phrases that are broadcast.
-PHRASES_SENT = 20_000
-_SPECS = [(">= 1500", "p_retailprice"), ("==5", "p_size"), ("=5", "p_size"), ("< 10.5", "p_size"), ("^brand#1", "p_brand"), ("!brand#1", "p_brand"), ('"brand#2"', "p_brand"), ("STEEL", "p_type"), ("∅", "p_name"), ("!∅", "p_name")]
+_SPECS = [(">= 1500", "p_retailprice"), ("==5", "p_size"), ("=5", "p_size"), ("< 10.5", "p_size"), ("^brand#1", "p_brand"), ("!brand#1", "p_brand"), ('"brand#2"', "p_brand"), ("STEEL", "p_type"), ("∅", "p_name"), ("!∅", "p_name"), ('"brand', "p_brand"), ("(非空白)", "p_name"), (">1e3", "p_retailprice"), ("= brand#11", "p_brand"), ("<=-5", "p_size")]
 
 
 @query("""
@@ -32,7 +29,8 @@ SELECT * FROM (
 SELECT '>= 1500' AS spec, count(*) FILTER (p_retailprice >= 1500) AS n FROM part UNION ALL SELECT '==5', count(*) FILTER (p_size = 5) FROM part UNION ALL SELECT '=5', count(*) FILTER (p_size = 5) FROM part
 UNION ALL SELECT '< 10.5', count(*) FILTER (p_size < 10.5) FROM part UNION ALL SELECT '^brand#1', count(*) FILTER (lower(p_brand) LIKE 'brand#1%') FROM part UNION ALL SELECT '!brand#1', count(*) FILTER (lower(p_brand) NOT LIKE '%brand#1%') FROM part
 UNION ALL SELECT '"brand#2"', count(*) FILTER (lower(p_brand) LIKE '%brand#2%') FROM part UNION ALL SELECT 'STEEL', count(*) FILTER (lower(p_type) LIKE '%steel%') FROM part
-UNION ALL SELECT '∅', count(*) FILTER (p_name IS NULL OR p_name = '') FROM part UNION ALL SELECT '!∅', count(*) FILTER (p_name IS NOT NULL AND p_name <> '') FROM part)""")
+UNION ALL SELECT '∅', count(*) FILTER (p_name IS NULL OR p_name = '') FROM part UNION ALL SELECT '!∅', count(*) FILTER (p_name IS NOT NULL AND p_name <> '') FROM part UNION ALL SELECT '"brand', count(*) FILTER (contains(lower(p_brand), '"brand')) FROM part UNION ALL SELECT '(非空白)', count(*) FILTER (p_name <> '') FROM part
+UNION ALL SELECT '>1e3', count(*) FILTER (contains(p_retailprice::VARCHAR, '>1e3')) FROM part UNION ALL SELECT '= brand#11', count(*) FILTER (lower(p_brand) = ' brand#11') FROM part UNION ALL SELECT '<=-5', count(*) FILTER (p_size <= -5) FROM part)""")
 def filter_language(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     one = part.agg(*(F.count_if(compile_filter(s, part[c])).alias(f"n{i}") for i, (s, c) in enumerate(_SPECS)))
@@ -98,10 +96,10 @@ def column_profile(spark, sf_dir):
 
 
 @query(r"""SELECT c_custkey, upper(replace(c_name, '=', '')) AS normed, regexp_replace(upper(c_name), '[^A-Z0-9]', '', 'g') AS compacted, translate(upper(c_name), 'SOQILBZ', '5001182') AS folded,
-CASE WHEN c_custkey = -1 THEN NULL ELSE concat_ws('.', (c_custkey >> 24) & 255, (c_custkey >> 16) & 255, (c_custkey >> 8) & 255, c_custkey & 255) END AS ip, regexp_replace(c_custkey::VARCHAR, '^0+', '') AS id0,
-greatest(1, ceil(c_nationkey / 4.0))::INT AS safety FROM customer WHERE c_custkey > 0""")
+CASE WHEN c_custkey = -1 THEN NULL ELSE concat_ws('.', (c_custkey >> 24) & 255, (c_custkey >> 16) & 255, (c_custkey >> 8) & 255, c_custkey & 255) END AS ip, regexp_replace('00' || c_custkey, '^0+([0-9])', '\1') AS id0,
+greatest(1, ceil(c_nationkey / 4.0))::INT AS safety FROM customer""")
 def tag_functions(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").where("c_custkey > 0")
+    c = table(spark, sf_dir, "customer")
     return c.select("c_custkey", text.norm(c.c_name).alias("normed"), text.compact(c.c_name).alias("compacted"), text.confusable(F.upper("c_name")).alias("folded"), text.ipv4(c.c_custkey).alias("ip"), text.canonical_id(F.concat(F.lit("00"), c.c_custkey.cast("string"))).alias("id0"), text.safety_stock(c.c_nationkey).alias("safety"))
 
 
@@ -141,8 +139,9 @@ def unpivot_facts(spark, sf_dir):
 
 @query("""SELECT n_name, coalesce(n_name, '—') || ' / ' || coalesce(nullif(r_name, 'ASIA'), '—') AS shown, row_number() OVER (ORDER BY n_nationkey) - 1 AS row_index FROM nation JOIN region ON n_regionkey = r_regionkey""")
 def joined_fields(spark, sf_dir):
-    n = table(spark, sf_dir, "nation").join(F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))  # five rows
-    return n.select("n_name", F.concat_ws(" / ", F.coalesce("n_name", F.lit("—")), F.coalesce(F.nullif("r_name", F.lit("ASIA")), F.lit("—"))).alias("shown"), (F.row_number().over(W.orderBy("n_nationkey")) - 1).alias("row_index"))
+    n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    n = sorting.reindexed(n.select("n_nationkey", "n_name", "r_name"), ["n_nationkey"])
+    return n.select("n_name", F.concat_ws(" / ", F.coalesce("n_name", F.lit("—")), F.coalesce(F.nullif("r_name", F.lit("ASIA")), F.lit("—"))).alias("shown"), "row_index")
 
 
 @query("""WITH r AS (SELECT *, lower(p_brand) LIKE 'brand#1%' AS a, p_size > 40 AS b, p_retailprice < 1000 AS c FROM part)
@@ -175,13 +174,36 @@ def card_rules(spark, sf_dir):
     return c.select("c_custkey", card_rule(rule, {"seg": c.c_mktsegment, "bal": c.c_acctbal, "nation": c.c_nationkey}).alias("marked"))
 
 
-@query("""WITH x AS (SELECT p_partkey, 0.0::DOUBLE AS lo1, p_size::DOUBLE AS hi1, 'bar' AS u1, 0.0::DOUBLE AS lo2, p_size * 100.0 * (1 + (p_partkey % 4) * 0.01) AS hi2, CASE p_partkey % 5 WHEN 3 THEN 'm' WHEN 4 THEN 'furlong' ELSE 'kPa' END AS u2 FROM part),
-b AS (SELECT *, hi1 * 100000.0 AS b1, CASE u2 WHEN 'm' THEN hi2 ELSE hi2 * 1000.0 END AS d1 FROM x)
-SELECT p_partkey, CASE WHEN u2 = 'furlong' THEN 'unit_unknown' WHEN u2 = 'm' THEN 'unit_mismatch' WHEN abs(b1 - d1) <= greatest(greatest(b1, d1) * 0.005, 1e-9) THEN 'ok' WHEN abs(b1 - d1) <= greatest(b1, d1) * 0.02 THEN 'near' ELSE 'mismatch' END AS status FROM b""")
+#: Units of a baseline and of the range compared with it, and how many of the second make one of the first.
+_RANGES = [("kPa", "kPa", 1.0), ("bar", "kPa", 100.0), ("kPa", "bar", 0.01), ("psi", "kPa", 6.894757), ("kPag", "kPa", 1.0), ("bara", "bar(g)", 1.0), ("bara", "bar", 1.0), ("m³/hr", "m3/h", 1.0), ("m3/h", "t/h", 1.0), ("°C", "degF", 1.8), ("kPa", "m", 1.0), ("kPa", "", 1.0), ("mm", "in", 0.03937007874)]
+
+
+@query("""WITH w(i, d1, c1, q1, f1, d2, c2, q2, f2, m) AS (VALUES (0, 'P', 'kpa', '', 1.0, 'P', 'kpa', '', 1.0, 1.0), (1, 'P', 'bar', '', 100.0, 'P', 'kpa', '', 1.0, 100.0), (2, 'P', 'kpa', '', 1.0, 'P', 'bar', '', 100.0, 0.01),
+(3, 'P', 'psi', '', 6.894757, 'P', 'kpa', '', 1.0, 6.894757), (4, 'P', 'kpa', 'g', 1.0, 'P', 'kpa', '', 1.0, 1.0), (5, 'P', 'bar', 'a', 100.0, 'P', 'bar', 'g', 100.0, 1.0), (6, 'P', 'bar', 'a', 100.0, 'P', 'bar', '', 100.0, 1.0),
+(7, 'other', 'm3/h', '', 1.0, 'other', 'm3/h', '', 1.0, 1.0), (8, 'other', 'm3/h', '', 1.0, 'other', 't/h', '', 1.0, 1.0), (9, 'T', 'c', '', 1.0, 'T', 'f', '', 1.0, 1.8), (10, 'P', 'kpa', '', 1.0, 'L', 'm', '', 1.0, 1.0),
+(11, 'P', 'kpa', '', 1.0, NULL, NULL, NULL, NULL, 1.0), (12, 'L', 'mm', '', 0.001, 'L', 'in', '', 0.0254, 0.03937007874)),
+x AS (SELECT p_partkey, w.* REPLACE (f1::DOUBLE AS f1, f2::DOUBLE AS f2, m::DOUBLE AS m), CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE 0.0 END::DOUBLE AS lo1, p_size::DOUBLE AS hi1, (CASE WHEN i = 9 THEN 32 ELSE 0 END + CASE WHEN i = 6 AND p_partkey % 2 = 0 THEN -1.01325 ELSE 0 END)::DOUBLE AS lo2,
+ p_size::DOUBLE * m * (1 + (p_partkey % 5) * 0.0017::DOUBLE) + CASE WHEN i = 9 THEN 32 ELSE 0 END + CASE WHEN i = 6 AND p_partkey % 2 = 0 THEN -1.01325::DOUBLE ELSE 0 END AS hi2, p_partkey % 11 <> 0 AS high FROM part JOIN w ON i = p_partkey % 13),
+y AS (SELECT *, d1 = d2 AND c1 = c2 AS same, CASE WHEN d1 = d2 AND c1 = c2 THEN lo2 WHEN d1 = 'T' THEN (lo2 - 32) * 5 / 9 ELSE lo2 * f2 / f1 END AS lo, CASE WHEN d1 = d2 AND c1 = c2 THEN hi2 WHEN d1 = 'T' THEN (hi2 - 32) * 5 / 9 ELSE hi2 * f2 / f1 END AS hi, greatest(abs(hi1 - coalesce(lo1, 0)) * 0.005::DOUBLE, 1e-9) AS tol FROM x),
+z AS (SELECT *, coalesce(abs(lo - lo1) > tol, false) OR (high AND abs(hi - hi1) > tol) AS bad, d1 = 'P' AND 'a' IN (q1, q2) AND '' IN (q1, q2) AS unsaid, 101.325::DOUBLE / f1 * CASE WHEN q2 = 'a' THEN -1 ELSE 1 END AS shift, greatest(abs(hi1 - coalesce(lo1, 0)) * 0.02::DOUBLE, 2.0::DOUBLE / f1) AS wide FROM y)
+SELECT p_partkey, CASE WHEN d2 IS NULL THEN 'unit_unknown' WHEN d1 <> d2 OR (d1 = 'other' AND c1 <> c2) OR ('a' IN (q1, q2) AND ('g' IN (q1, q2) OR 'd' IN (q1, q2))) THEN 'unit_mismatch'
+WHEN bad AND unsaid AND NOT (coalesce(abs(lo + shift - lo1) > wide, false) OR (high AND abs(hi + shift - hi1) > wide)) THEN 'unit_mismatch' WHEN bad THEN 'mismatch'
+WHEN same AND (coalesce(format('{:.7g}', lo) <> format('{:.7g}', lo1), false) OR (high AND format('{:.7g}', hi) <> format('{:.7g}', hi1))) THEN 'near' ELSE 'ok' END AS status FROM z""")
 def range_comparison(spark, sf_dir):
+    """Thirteen pairs of units, ranges apart by up to 0.7 %, some without a lower end or with an upper end that is not compared, some shifted by an atmosphere."""
     p = table(spark, sf_dir, "part")
-    k = F.col("p_partkey") % 5
-    return p.select("p_partkey", units.compare_range(F.lit(0.0), p.p_size.cast("double"), F.lit("bar"), F.lit(0.0), p.p_size * 100.0 * (1 + (p.p_partkey % 4) * 0.01), F.when(k == 3, "m").when(k == 4, "furlong").otherwise("kPa")).alias("status"))
+    key, i = F.col("p_partkey"), (F.col("p_partkey") % 13).cast("int")
+    pick = lambda k: F.get(F.array(*(F.lit(r[k]) for r in _RANGES)), i)
+    lift = F.when(i == 9, 32.0).otherwise(0.0) + F.when((i == 6) & (key % 2 == 0), -1.01325).otherwise(0.0)
+    hi = p.p_size.cast("double") * pick(2) * (1 + (key % 5) * 0.0017) + lift
+    return p.select("p_partkey", units.compare_range(F.when(key % 7 != 0, 0.0), p.p_size.cast("double"), pick(0), lift, hi, pick(1), high=key % 11 != 0).alias("status"))
+
+
+@query("""SELECT o_orderkey, format('{:.7g}', o_totalprice / 7) AS small, format('{:.7g}', o_totalprice * 1000 / 7) AS large, format('{:.7g}', -7 / (o_totalprice * 1000)) AS tiny, format('{:.7g}', o_orderkey::DOUBLE) AS whole FROM orders""")
+def seven_digits(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    shown = lambda c, n: text.significant7(c).alias(n)
+    return o.select("o_orderkey", shown(o.o_totalprice / 7, "small"), shown(o.o_totalprice * 1000 / 7, "large"), shown(F.lit(-7) / (o.o_totalprice * 1000), "tiny"), shown(o.o_orderkey, "whole"))
 
 
 @query("""SELECT o_orderstatus AS status, o_orderpriority AS priority, count(*) AS n, sum(o_totalprice) AS total FROM orders GROUP BY ROLLUP (1, 2)""")
@@ -200,9 +222,11 @@ def uniqueness_check(spark, sf_dir):
     return table(spark, sf_dir, "part").groupBy(F.col("p_name").alias("value")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-@query("""SELECT p_partkey, CASE WHEN p_size <= 0 THEN 'out' WHEN p_size <= 5 THEN 'low' ELSE 'ok' END AS status FROM part""")
+@query("""SELECT p_partkey, CASE WHEN p_size - 3 <= 0 THEN 'out' WHEN p_partkey % 4 > 0 AND p_size - 3 <= p_partkey % 20 THEN 'low' ELSE 'ok' END AS status FROM part""")
 def stock_status(spark, sf_dir):
-    return table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_size") <= 0, "out").when(F.col("p_size") <= 5, "low").otherwise("ok").alias("status"))
+    """Quantities against each item's own minimum; a quarter of the items have none."""
+    key = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select("p_partkey", matching.stock_status(F.col("p_size") - 3, F.when(key % 4 > 0, key % 20)).alias("status"))
 
 
 @query("""SELECT event_id, concat_ws(',', CASE WHEN event_id & 1 = 1 THEN 'man' END, CASE WHEN event_id & 2 = 2 THEN 'auto' END, CASE WHEN event_id & 4 = 4 THEN 'cas' END) AS modes FROM events""")
@@ -210,14 +234,12 @@ def mode_flags(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", text.flags(F.col("event_id"), ["man", "auto", "cas"]).alias("modes"))
 
 
-@query("""SELECT doc_id, count(*) AS hits FROM documents, benchmark WHERE contains(documents.text, benchmark.text) GROUP BY 1""")
+@query("""WITH p AS (SELECT text AS phrase FROM benchmark UNION ALL SELECT regexp_extract(text, '^[^ ]+ [^ ]+') FROM benchmark UNION ALL SELECT substr(text, 3, 40) FROM benchmark UNION ALL SELECT right(text, 25) FROM benchmark)
+SELECT doc_id, count(*) AS hits FROM documents, p WHERE contains(documents.text, p.phrase) GROUP BY 1""")
 def phrase_hits(spark, sf_dir):
-    """Documents that hold a listed phrase whole. They meet phrases by their first four words, so nothing is compared with everything; only
-    candidates meet texts again. The phrases are sent to all tasks while they are few, and shuffled beyond that."""
-    phrases = table(spark, sf_dir, "benchmark").select(F.col("item_id"), F.col("text").alias("phrase"))
+    """Documents that hold a listed phrase: whole benchmark passages, their first two words, and stretches that begin or end inside a word."""
+    b = table(spark, sf_dir, "benchmark").select("text")
+    listed = [F.col("text"), F.regexp_extract("text", "^[^ ]+ [^ ]+", 0), F.substring("text", 3, 40), F.right(F.col("text"), F.lit(25))]
+    phrases = b.select(F.explode(F.array(*listed)).alias("phrase"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    heads = phrases.withColumn("head", F.regexp_extract("phrase", r"(?s)^\S+\s\S+\s\S+\s\S+", 0))
-    grams = docs.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(?<=(^|\W))(?=(\S+\s\S+\s\S+\s\S+))"), 2))).alias("head"))
-    few = phrases.limit(PHRASES_SENT + 1).count() <= PHRASES_SENT
-    near = grams.join(F.broadcast(heads) if few else heads, "head").select("doc_id", "item_id", "phrase").distinct()
-    return docs.join(near, "doc_id").where(F.expr("contains(text, phrase)")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("hits"))
+    return documents.phrase_hits(docs, phrases).groupBy("doc_id").agg(F.sum("n").alias("hits"))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def safe_unions(spark: SparkSession) -> SparkSession:
@@ -31,3 +32,17 @@ def ship(spark: SparkSession) -> None:
                     z.write(full, os.path.join("gridloom", os.path.relpath(full, top)))
     sc.addPyFile(path)
     sc._gridloom_shipped = True
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the folder the cluster shares: lineage ends there, so steps that follow one another don't repeat those before."""
+    spark = df.sparkSession
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        top = tempfile.mkdtemp(prefix="gridloom-")
+        spark.conf.set("spark.checkpoint.dir", top)
+    path = f"{top.rstrip('/')}/gridloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

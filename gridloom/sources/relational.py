@@ -96,6 +96,15 @@ def audit_counts(read: dict[str, DataFrame], expected: DataFrame) -> DataFrame:
     return expected.join(got, "table", "full").select("table", "expected", "exported", status.alias("status"))
 
 
+def insert_script(df: DataFrame, table: str) -> DataFrame:
+    """sql: one INSERT a row; texts are quoted, nulls are NULL."""
+    quoted = lambda c: F.concat(F.lit("'"), F.replace(F.col(f"`{c}`").cast("string"), F.lit("'"), F.lit("''")), F.lit("'"))
+    plain = ("int", "bigint", "smallint", "tinyint", "double", "float")
+    lit = lambda c, t: F.coalesce(F.col(f"`{c}`").cast("string") if t in plain or t.startswith("decimal") else F.when(F.col(f"`{c}`"), "1").otherwise("0") if t == "boolean" else quoted(c), F.lit("NULL"))
+    values = F.concat_ws(", ", *(lit(c, t) for c, t in df.dtypes))
+    return df.select(F.concat(F.lit(f"INSERT INTO {table} ({', '.join(df.columns)}) VALUES ("), values, F.lit(");")).alias("sql"))
+
+
 def fill_script(df: DataFrame, table: str, key: str, column: str) -> DataFrame:
     """sql: one UPDATE a row that fills the column only where it is NULL; texts are quoted, rows without key or value give none."""
     typed = dict(df.dtypes)

@@ -68,16 +68,16 @@ def test_registered_audit_and_tiers_take_whole_tables(spark):
 
     t = lambda n: spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet")
     q = registry.queries()
-    audit = q["positional_audit_all"](spark, "/root/testdata/sf0.01")
+    audit = q["positional_audit"](spark, "/root/testdata/sf0.01")
     assert audit.count() == max(t("orders").count(), t("customer").count())
-    tiers = q["two_tier_match_all"](spark, "/root/testdata/sf0.01")
+    tiers = q["two_tier_match"](spark, "/root/testdata/sf0.01")
     assert tiers.select("p_partkey").distinct().count() == t("part").count() and tiers.select("match").distinct().count() == t("supplier").count()
 
 
 def test_registered_fallback_match_takes_all_certificates(spark):
     from gridloom.plans import registry
 
-    got = {r.cert for r in registry.queries()["unique_fallback_match_all"](spark, "/root/testdata/sf0.1").where("rule = 'tag'").collect()}
+    got = {r.cert for r in registry.queries()["unique_fallback_match"](spark, "/root/testdata/sf0.1").where("rule = 'tag'").collect()}
     suppliers = {r[0] for r in spark.read.parquet("/root/testdata/sf0.1/supplier.parquet").select("s_suppkey").collect()}
     assert got == {i for i in suppliers if i % 2 == 0} and max(got) > 300
 
