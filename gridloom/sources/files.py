@@ -63,7 +63,7 @@ def walk(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
 
 
-def read_csv(spark: SparkSession, path: str, fallback: str = "windows-1252", **options: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, fallback: str = "iso-8859-1", **options: str) -> DataFrame:
     """CSV files with a header, all columns text: UTF-8 with or without a byte order mark where every file is valid UTF-8, else the fallback. Fields that were
     written as ="..." come back without it; empty ones are NULL."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true").load(path)
