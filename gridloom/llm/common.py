@@ -59,6 +59,15 @@ def keep(df: DataFrame) -> DataFrame:
     return out
 
 
+def settled(make) -> DataFrame:
+    """keep() of what make() returns; the tables that were kept on the way to it are removed, as nothing reads them any more."""
+    before = set(_kept)
+    out = keep(make())
+    for path in set(_kept) - before - {out._kept_at}:
+        _remove(path, _kept.pop(path))
+    return out
+
+
 def release(df: DataFrame) -> None:
     """Removes a kept table that nothing reads any more."""
     _remove(df._kept_at, _kept.pop(df._kept_at, None))

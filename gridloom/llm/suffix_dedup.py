@@ -74,9 +74,23 @@ def periodic(g: np.ndarray) -> list[tuple[int, int, int]]:
     return out
 
 
-def kept_suffixes(g: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+def maybe_periodic(g: np.ndarray, first: np.ndarray) -> set[int]:
+    """Which texts may hold a periodic run: g of all texts one after another shows as long a stretch of equal hashes there."""
+    out: set[int] = set()
+    for p in range(1, PERIOD + 1):
+        at = np.flatnonzero(g[p:] == g[:-p]) if len(g) > p else g[:0]
+        need = MIN_WORDS - GRAM
+        if len(at) > need:
+            # equal hashes in a row: as many places on as there are words between
+            ends = at[need:][at[need:] - at[:-need] == need]
+            out.update((np.searchsorted(first, ends, "right") - 1).tolist())
+            out.update((np.searchsorted(first, ends - need, "right") - 1).tolist())
+    return out
+
+
+def kept_suffixes(g: np.ndarray, look: bool = True) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """Positions of the least of every WINDOW neighbours, without those amid periodic runs; and these runs."""
-    at, runs_ = np.unique(_least(g)), periodic(g)
+    at, runs_ = np.unique(_least(g)), periodic(g) if look else []
     for _, a, b in runs_:
         at = at[(at < a + 2 * WINDOW) | (at >= b - MIN_WORDS)]
     return at, runs_
@@ -102,11 +116,12 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, texts in groups(batch.column("text").cast(pa.binary()).to_pylist()):
             h, _, _, first = word_hashes(texts, lower=False)
             seed, gram = runs(h, SEED), runs(h, GRAM)
+            look = maybe_periodic(gram, first)
             doc, pos, bucket, around, period = [], [], [], [], []
             for j, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
                 if b - a < MIN_WORDS:
                     continue
-                p, repeats = kept_suffixes(gram[a : b - GRAM + 1])
+                p, repeats = kept_suffixes(gram[a : b - GRAM + 1], j in look)
                 p = p[p <= b - a - SEED]
                 pos.append(p)
                 bucket.append(seed[a + p])

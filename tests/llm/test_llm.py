@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 
 from gridloom.llm import bpe, embedding_dedup, exact_dedup, jaccard, line_dedup, mixing, pii, quality, suffix_dedup, toxicity
+from gridloom.llm.common import keep
 from gridloom.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -566,7 +567,7 @@ def test_pipeline_stages(spark):
     cols, labels = docs.columns, {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.001/labels.parquet").collect()}
     n = [docs.count()]
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = corpus_pipeline.keep(stage(spark, docs, "/root/testdata/sf0.001"))
+        docs = keep(stage(spark, docs, "/root/testdata/sf0.001"))
         assert docs.columns == cols, name
         n.append(docs.count())
         if len(n) == 2:
