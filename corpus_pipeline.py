@@ -7,12 +7,14 @@ become one at the second stage, and so do equal texts; ties go to the smaller id
 
 from __future__ import annotations
 
+from functools import partial
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm.bpe import encode
-from gridloom.llm.common import keep, read, unused
+from gridloom.llm.common import read, release, settled, unused
 from gridloom.llm.exact_dedup import exact_dedup
 from gridloom.llm.jaccard import near_dedup
 from gridloom.llm.mixing import label_weights, mix
@@ -64,6 +66,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each one's output is written as Parquet and read again."""
     docs = read(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = keep(stage(spark, docs, sf_dir))
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        last, docs = docs, settled(partial(stage, spark, docs, sf_dir))
+        if i:
+            release(last)
     return STAGES[-1][1](spark, docs, sf_dir)
