@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from gridloom.functions.units import let
+
 #: Rows shown for an entity, and pages named for a document.
 MOST, PAGES = 16, 6
 #: Terms that are sent to all tasks; more are shuffled.
@@ -77,28 +79,36 @@ def entity_documents(hits: DataFrame, docs: DataFrame, order: list[Column], keep
 RUN = 4
 
 
-def _runs(k: int) -> Column:
-    """The hash of each k words in a row of _w."""
-    each = F.transform(F.sequence(F.lit(1), F.size("_w") - k + 1), lambda i: F.xxhash64(F.slice("_w", i, F.lit(k))))
-    return F.when(F.size("_w") >= k, each).otherwise(F.array().cast("array<bigint>"))
+def _runs(words: Column) -> Column:
+    """The hash of each RUN words in a row; each word is hashed once."""
+
+    def joined(h: Column) -> Column:
+        some = F.transform(F.sequence(F.lit(0), F.size(h) - RUN), lambda i: F.xxhash64(*(F.get(h, i + k) for k in range(RUN))))
+        return F.when(F.size(h) >= RUN, some).otherwise(F.array().cast("array<bigint>"))
+
+    return let(F.transform(words, lambda w: F.xxhash64(w)), joined)
 
 
 def phrase_hits(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     """docs (doc_id, text), phrases (phrase) -> doc_id, phrase, n: texts that hold a phrase as it stands, wherever it begins or ends; n: how often the phrase is listed.
 
-    A phrase's inner words stand whole in any text that holds it, so phrases and texts meet by a hash of up to RUN inner words in a row, and only candidates meet
-    texts again. Phrases of fewer than three words have none: they are looked for in every text, in one list that is sent while it is small.
+    A phrase's inner words stand whole in any text that holds it, so phrases and texts meet by a hash of their first RUN inner words in a row, or of the longest one
+    where they have fewer, and only candidates meet texts again. Phrases of fewer than three words have none: they are looked for in every text, in one list that
+    is sent while it is small.
     """
     words = lambda c: F.filter(F.split(c, r"\s+"), lambda w: w != "")
     p = phrases.where("phrase IS NOT NULL").groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).withColumn("_w", words(F.col("phrase")))
-    p = p.withColumn("_size", F.least(F.greatest(F.size("_w") - 2, F.lit(0)), F.lit(RUN))).withColumn("_head", F.when(F.col("_size") > 0, F.xxhash64(F.slice("_w", 2, F.greatest("_size", F.lit(1))))))
-    sizes = [r[0] for r in p.select("_size").distinct().collect()]  # RUN + 1 at most
+    p = p.withColumn("_in", F.slice("_w", 2, F.greatest(F.size("_w") - 2, F.lit(0)))).withColumn("_size", F.when(F.size("_in") >= RUN, RUN).otherwise(F.least(F.size("_in"), F.lit(1))))
+    longest = F.aggregate("_in", F.lit(""), lambda x, w: F.when(F.length(w) > F.length(x), w).otherwise(x))
+    p = p.withColumn("_head", F.when(F.col("_size") == RUN, F.get(_runs(F.slice("_in", 1, RUN)), F.lit(0))).when(F.col("_size") == 1, F.xxhash64(longest)))
+    sizes = [r[0] for r in p.select("_size").distinct().collect()]  # three at most
     texts = docs.where("text IS NOT NULL").select("doc_id", "text")
     out = None
     if any(sizes):
         heads = p.where("_size > 0").select("_head", "phrase", "n")
         split = texts.select("doc_id", words(F.col("text")).alias("_w"))
-        grams = split.select("doc_id", F.explode(F.array_distinct(F.concat(*(_runs(k) for k in sizes if k)))).alias("_head"))
+        made = ([_runs(F.col("_w"))] if RUN in sizes else []) + ([F.transform(F.array_distinct("_w"), lambda w: F.xxhash64(w))] if 1 in sizes else [])
+        grams = split.select("doc_id", F.explode(F.array_distinct(F.concat(*made))).alias("_head"))
         few = heads.limit(SENT + 1).count() <= SENT
         near = grams.join(F.broadcast(heads) if few else heads, "_head").select("doc_id", "phrase", "n")
         out = texts.join(near, "doc_id").where(F.contains("text", "phrase")).select("doc_id", "phrase", "n").distinct()
