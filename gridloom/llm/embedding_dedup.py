@@ -227,3 +227,12 @@ def vector_groups(table: DataFrame, t: float = 0.8, id_col: str = "vec_id", vect
     out = rows.where(~alone).select("vec_id", "k1", "k2").join(known, ["k1", "k2"]).select("vec_id", "n_links", "component_id")
     out = out.unionByName(rows.where(alone).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+#: All pairs: for small tables only, as an oracle.
+PAIRS_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.9),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a), c AS (SELECT a, least(a, min(b)) AS component_id FROM r GROUP BY a), n AS (SELECT a, count(*) AS n_links FROM e GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept FROM embeddings LEFT JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""

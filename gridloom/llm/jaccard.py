@@ -281,3 +281,13 @@ def near_dedup(docs: DataFrame, k: int = K, t: tuple[int, int] = SIMILARITY) ->
     id_ = unused(docs, "_id")
     gone = near_groups(docs, k, t).where("doc_id <> component_id").select(F.col("doc_id").alias(id_)).distinct()
     return docs.join(gone, F.col("doc_id") == F.col(id_), "left_anti")
+
+
+#: Every pair of documents that share a shingle: for small tables only, as an oracle (three words, ninety hundredths).
+PAIRS_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, chr(10))] ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || chr(10) || ws[i + 1] || chr(10) || ws[i + 2]) END) AS s FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1), i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 90 * (x.n + y.n - shared)), r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a), c AS (SELECT a, least(a, min(b)) AS component_id FROM r GROUP BY a)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, w.doc_id) AS component_id FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.a = w.doc_id
+"""

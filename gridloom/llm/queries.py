@@ -76,8 +76,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
+    from gridloom.llm import embedding_dedup, jaccard
     from gridloom.llm.exact_dedup import EXACT_SQL
     from gridloom.llm.line_dedup import LINE_SQL
     from gridloom.llm.mixing import MIX_SQL
 
-    return {"op1_line_dedup": LINE_SQL, "op7_exact_dedup": EXACT_SQL, "op10_mixing": MIX_SQL}
+    return {"op1_line_dedup": LINE_SQL, "op2_embedding_dedup": embedding_dedup.PAIRS_SQL, "op9_ngram_jaccard": jaccard.PAIRS_SQL, "op7_exact_dedup": EXACT_SQL, "op10_mixing": MIX_SQL}

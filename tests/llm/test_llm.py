@@ -609,3 +609,21 @@ def test_every_operator_with_repeats_nulls_long_texts_and_clashing_names(spark):
     v = spark.createDataFrame([(1, [1.0, 0.0], "x"), (1, [1.0, 0.0], "y"), (2, [2.0, 0.0], "z"), (3, [0.0, -0.0], "z"), (4, [], "z"), (5, [1e300, 1e-300], "z"), (6, [0.0, 1.0], "z")], "vec_id long, embedding array<double>, cid string").withColumn("mult", F.lit(1)).withColumn("k1", F.lit(1)).withColumn("a", F.lit(1))
     got = sorted((r.vec_id, r.n_links, r.component_id) for r in embedding_dedup.vector_groups(v, 0.9).collect())
     assert got == [(1, 3, 1), (1, 3, 1), (2, 3, 1), (3, 0, 3), (4, 0, 4), (5, 3, 1), (6, 0, 6)]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables here")
+@pytest.mark.parametrize("name", ["op1_line_dedup", "op2_embedding_dedup", "op7_exact_dedup", "op9_ngram_jaccard", "op10_mixing"])
+def test_registered_queries_match_their_sql(spark, name):
+    import duckdb
+
+    from gridloom.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    got = queries.queries()[name](spark, sf)
+    cols = sorted(got.columns)
+    want = con.execute(f"SELECT {', '.join(cols)} FROM ({queries.oracle_sql()[name]})").fetchall()
+    plain = lambda v: float(f"{v:.9g}") if isinstance(v, float) else v
+    assert sorted((tuple(plain(r[c]) for c in cols) for r in got.collect()), key=repr) == sorted((tuple(map(plain, r)) for r in want), key=repr)
