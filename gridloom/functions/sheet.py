@@ -8,14 +8,6 @@ from pyspark.sql import functions as F
 from gridloom.functions.text import number_of
 
 
-def if_(test: Column, then: Column, other: Column) -> Column:
-    return F.when(test, then).otherwise(other)
-
-
-def iferror(value: Column, other: Column) -> Column:
-    return F.coalesce(value, other)
-
-
 def round_(x: Column, digits: int) -> Column:
     """Half away from zero."""
     return F.round(x, digits)
@@ -53,10 +45,6 @@ def search(needle: str, s: Column, start: int = 1) -> Column:
     return F.nullif(F.locate(needle.lower(), F.lower(s), start), F.lit(0))
 
 
-def find(needle: str, s: Column, start: int = 1) -> Column:
-    return F.nullif(F.locate(needle, s, start), F.lit(0))
-
-
 def date(y: Column, m: Column, d: Column) -> Column:
     """Months and days beyond their range carry over."""
     return F.date_add(F.add_months(F.make_date(y, F.lit(1), F.lit(1)), (m - 1).cast("int")), (d - 1).cast("int"))
@@ -95,7 +83,3 @@ def sumproduct(a: Column, b: Column) -> Column:
 def distinct_text(c: Column) -> Column:
     """SUMPRODUCT(1/COUNTIF(P,P)): distinct values, case aside."""
     return F.count_distinct(F.lower(c.cast("string")))
-
-
-#: By spreadsheet name, for the registry of scalar functions.
-FUNCTIONS = {"IF": if_, "IFERROR": iferror, "ROUND": round_, "INT": int_, "ABS": F.abs, "TRIM": trim, "UPPER": F.upper, "LOWER": F.lower, "LEN": F.length, "LEFT": left, "RIGHT": right, "MID": mid, "SUBSTITUTE": substitute, "SEARCH": search, "FIND": find, "DATE": date, "YEAR": F.year, "MONTH": F.month, "DAY": F.day, "VALUE": value, "CONCATENATE": F.concat, "AVERAGE": average, "MIN": min_, "MAX": max_, "SUM": F.sum, "COUNTA": F.count, "SUMPRODUCT": sumproduct}

@@ -128,9 +128,20 @@ def majority(votes: DataFrame, keys: list[str], choice: str) -> DataFrame:
     return n.withColumn("rn", F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("votes"), choice))).where("rn = 1").drop("rn")
 
 
-def best_class(df: DataFrame, entity: str, rank: str, group: str, order: list[Column], groups: int, each: int) -> DataFrame:
-    """Rows of each entity's best rank only; at most `groups` groups and `each` rows of a group."""
-    best = df.withColumn("_best", F.min(rank).over(W.partitionBy(entity))).where(F.col(rank) == F.col("_best"))
+def usable_version(versions: DataFrame, key: str, order: list[str], usable: Column) -> DataFrame:
+    """versions with chosen and why: of each key the newest version that can be used, or the newest of all where none can; why others lost: 'unusable', 'older', or 'newer, unusable'."""
+    w = W.partitionBy(key)
+    v = versions.withColumn("_u", F.coalesce(usable, F.lit(False))).withColumn("_at", F.struct(*order))
+    best = F.coalesce(F.max(F.when(F.col("_u"), F.col("_at"))).over(w), F.max("_at").over(w))
+    v = v.withColumn("_best", best).withColumn("chosen", F.col("_at") == F.col("_best"))
+    why = F.when(F.col("chosen"), F.when(F.col("_u"), "newest").otherwise("none usable")).when(F.col("_u"), "older").when(F.col("_at") > F.col("_best"), "newer, unusable").otherwise("unusable")
+    return v.withColumn("why", why).drop("_u", "_at", "_best")
+
+
+def best_class(df: DataFrame, entity: str, rank: str, group: str, order: list[Column], groups: int, each: int, always: Column | None = None) -> DataFrame:
+    """Rows of each entity's best rank, and those that always count (exact references) beside them; at most `groups` groups and `each` rows of a group."""
+    kept_too = F.lit(False) if always is None else F.coalesce(always, F.lit(False))
+    best = df.withColumn("_best", F.min(rank).over(W.partitionBy(entity))).where((F.col(rank) == F.col("_best")) | kept_too)
     best = best.withColumn("_g", F.dense_rank().over(W.partitionBy(entity).orderBy(group))).withColumn("_r", F.row_number().over(W.partitionBy(entity, group).orderBy(*order)))
     return best.where((F.col("_g") <= groups) & (F.col("_r") <= each)).drop("_best", "_g", "_r")
 

@@ -4,15 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 
-def facet_counts(df: DataFrame, column: str, options: list[str] = ()) -> DataFrame:
-    """value, n; blanks as ''; declared options appear with 0."""
-    got = df.groupBy(F.coalesce(F.col(column).cast("string"), F.lit("")).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    if options:
-        listed = df.sparkSession.createDataFrame([(o,) for o in options], "value string")
-        got = got.join(listed, "value", "full")
-    return got.select("value", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+#: Fixed value: what stands for blank cells in a facet.
+BLANK = "∅"
+
+
+def facet_counts(df: DataFrame, column: str, options: list[str] = (), order: list[str] = ()) -> DataFrame:
+    """value, n, place; blanks as ∅, last and only where there are any. Values of a declared order come first in it, options after what was found; both appear with 0."""
+    value = F.coalesce(F.nullif(F.col(column).cast("string"), F.lit("")), F.lit(BLANK))
+    got = df.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    listed = list(dict.fromkeys([*order, *options]))
+    if listed:
+        rows = df.sparkSession.createDataFrame([(v, i if v in order else None, i) for i, v in enumerate(listed)], "value string, first int, late int")
+        got = got.join(rows, "value", "full")
+    else:
+        got = got.withColumn("first", F.lit(None).cast("int")).withColumn("late", F.lit(None).cast("int"))
+    rank = F.when(F.col("value") == BLANK, 3).when(F.col("first").isNotNull(), 0).when(F.col("n").isNotNull(), 1).otherwise(2)
+    # one row a value of a facet
+    place = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(rank, F.coalesce("first", F.when(F.col("n").isNull(), F.col("late"))), "value"))
+    return got.select("value", F.coalesce("n", F.lit(0)).cast("long").alias("n"), place.alias("place"))
 
 
 def live_facets(df: DataFrame, predicates: dict[str, Column], facets: list[str]) -> DataFrame:
@@ -27,9 +39,9 @@ def live_facets(df: DataFrame, predicates: dict[str, Column], facets: list[str])
 
 
 def auto_facets(df: DataFrame, most: int = 40, columns: int = 8) -> DataFrame:
-    """column, n_unique of text columns worth a facet: more than one and at most `most` values; the first `columns` of them."""
+    """column, n_unique of text columns worth a facet: more than one and at most `most` values in a table of more than 20 rows; the first `columns` of them."""
     text = [c for c, t in df.dtypes if t == "string"]
-    counts = df.agg(*(F.count_distinct(c).alias(c) for c in text))
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *(F.count_distinct(c).alias(c) for c in text)).where("_rows > 20")
     long = counts.select(F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(c).alias("column"), F.col(c).alias("n_unique")) for i, c in enumerate(text)))).alias("x")).select("x.*")
     return long.where(F.col("n_unique").between(2, most)).orderBy("i").limit(columns).select("column", "n_unique")
 

@@ -93,6 +93,21 @@ def best_class_cap(spark, sf_dir):
     return entities.best_class(table(spark, sf_dir, "orders"), "o_custkey", "o_orderpriority", "o_orderstatus", [F.desc("o_totalprice"), F.col("o_orderkey")], 2, 3).select("o_custkey", "o_orderkey")
 
 
+@query("""WITH b AS (SELECT *, min(o_orderpriority) OVER (PARTITION BY o_custkey) AS best FROM orders), k AS (SELECT o_custkey, o_orderkey, dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus) AS g, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS r FROM b WHERE o_orderpriority = best OR o_orderkey % 6 = 0)
+SELECT o_custkey, o_orderkey FROM k WHERE g <= 2 AND r <= 3""")
+def best_class_beside_exact(spark, sf_dir):
+    """Every sixth order counts whatever its class."""
+    return entities.best_class(table(spark, sf_dir, "orders"), "o_custkey", "o_orderpriority", "o_orderstatus", [F.desc("o_totalprice"), F.col("o_orderkey")], 2, 3, F.col("o_orderkey") % 6 == 0).select("o_custkey", "o_orderkey")
+
+
+@query("""WITH v AS (SELECT p_name, p_partkey, p_retailprice, coalesce(p_size % 3 = 0 AND p_name <> 'blue ring', false) AS u FROM part), b AS (SELECT *, coalesce(max(p_partkey) FILTER (u) OVER (PARTITION BY p_name), max(p_partkey) OVER (PARTITION BY p_name)) AS best FROM v)
+SELECT p_name, p_partkey, p_partkey = best AS chosen, CASE WHEN p_partkey = best THEN CASE WHEN u THEN 'newest' ELSE 'none usable' END WHEN u THEN 'older' WHEN p_partkey > best THEN 'newer, unusable' ELSE 'unusable' END AS why FROM b""")
+def usable_versions(spark, sf_dir):
+    """Of each name the newest part that can be used, and why the others are not taken."""
+    p = table(spark, sf_dir, "part").select("p_name", "p_partkey", "p_size")
+    return entities.usable_version(p, "p_name", ["p_partkey"], (F.col("p_size") % 3 == 0) & (F.col("p_name") != "blue ring")).drop("p_size")
+
+
 @query("""WITH r AS (SELECT p_name, p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_size::VARCHAR WHEN 1 THEN p_size || 'A' WHEN 2 THEN chr(65 + p_size % 26) ELSE '' END AS rev, p_size FROM part),
 k AS (SELECT *, CASE p_partkey % 4 WHEN 0 THEN 2 WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE 0 END AS c, CASE WHEN p_partkey % 4 <= 1 THEN p_size WHEN p_partkey % 4 = 2 THEN 1 ELSE 0 END AS n, CASE p_partkey % 4 WHEN 1 THEN 'A' WHEN 2 THEN rev ELSE '' END AS s FROM r)
 SELECT p_name, p_partkey, rev FROM k QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY c DESC, n DESC, s DESC, p_partkey) = 1""")

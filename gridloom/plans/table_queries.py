@@ -79,9 +79,12 @@ def keyset_page(spark, sf_dir):
     return table(spark, sf_dir, "orders").where("o_orderkey < 1000").orderBy(F.desc("o_orderkey")).limit(300).select("o_orderkey", "o_orderdate")
 
 
-@query("SELECT p_brand AS value, count(*) AS n FROM part GROUP BY 1 UNION ALL SELECT 'Brand#99', 0")
+@query("""WITH v AS (SELECT coalesce(nullif(CASE WHEN p_partkey % 10 = 0 THEN '' ELSE p_brand END, ''), '∅') AS value, count(*) AS n FROM part GROUP BY 1), l(value, f, o) AS (VALUES ('Brand#7', 0, 0), ('Brand#77', 1, 1), ('Brand#99', NULL, 2), ('Brand#3', NULL, 3))
+SELECT value, coalesce(n, 0)::BIGINT AS n, row_number() OVER (ORDER BY CASE WHEN value = '∅' THEN 3 WHEN f IS NOT NULL THEN 0 WHEN n IS NOT NULL THEN 1 ELSE 2 END, coalesce(f, CASE WHEN n IS NULL THEN o END) NULLS FIRST, value) AS place FROM v FULL JOIN l USING (value)""")
 def facet_with_options(spark, sf_dir):
-    return facets.facet_counts(table(spark, sf_dir, "part"), "p_brand", ["Brand#99"])
+    """Two values in a declared order, two options of which one occurs, and blanks."""
+    p = table(spark, sf_dir, "part").withColumn("brand", F.when(F.col("p_partkey") % 10 == 0, "").otherwise(F.col("p_brand")))
+    return facets.facet_counts(p, "brand", ["Brand#99", "Brand#3"], ["Brand#7", "Brand#77"])
 
 
 @query("""SELECT * FROM (SELECT 'p_name' AS "column", count(DISTINCT p_name) AS n_unique FROM part UNION ALL SELECT 'p_brand', count(DISTINCT p_brand) FROM part UNION ALL SELECT 'p_type', count(DISTINCT p_type) FROM part) WHERE n_unique BETWEEN 2 AND 40""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,6 +22,16 @@ def failures(stream: DataFrame, key: str, ts: str, window: str = "10 minutes", l
     return stream.withWatermark(ts, late).groupBy(key, F.window(ts, window).alias("w")).agg(F.count(F.lit(1)).alias("n")).select(key, F.col("w.start").alias("start"), "n")
 
 
+def arrivals(spark: SparkSession, path: str, schema: str, files: int = 1) -> DataFrame:
+    """Chunks of a table as they arrive in a folder, some files a step."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files)).parquet(path)
+
+
+def live_view(stream: DataFrame, keep: Column, facet: str) -> DataFrame:
+    """value, n, passed of what has arrived so far; written in complete mode, every step shows the view anew. State is one row a value."""
+    return stream.groupBy(F.col(facet).alias("value")).agg(F.count(F.lit(1)).alias("n"), F.count_if(keep).alias("passed"))
+
+
 def sessions(stream: DataFrame, key: str, ts: str, gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
     """key, start, end, n of sessions parted by a gap."""
     return stream.withWatermark(ts, late).groupBy(key, F.session_window(ts, gap).alias("w")).agg(F.count(F.lit(1)).alias("n")).select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")

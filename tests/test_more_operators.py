@@ -279,3 +279,43 @@ def test_relations_of_units(spark):
 def test_best_rules_take_all_rows_of_the_first_rule(spark):
     a, b = spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string"), spark.createDataFrame([(1, "z"), (2, "w")], "k int, v string")
     assert sorted((r.k, r.v, r.rule) for r in matching.best_rules([("a", a), ("b", b)], ["k"]).collect()) == [(1, "x", "a"), (1, "y", "a"), (2, "w", "b")]
+
+
+def test_pdf_words(spark, tmp_path):
+    import zlib
+
+    from gridloom.sources import pdf
+
+    text_ = b"BT /F1 10 Tf 100 700 Td (HAD60 BP001) Tj 0 -20 Td [(G1) 20 (1) -400 (valve)] TJ ET BT 2 0 0 2 50 60 Tm <4142> Tj ET BT 12 TL 10 90 Td (a\\(b\\)) Tj T* (c\\101) Tj ET"
+    packed = zlib.compress(text_)
+    page_two = b"3 0 << /Type /Page /Contents 9 0 R >>"
+    first = page_two.index(b"<<")
+    packed_objects = zlib.compress(b"8 0 " + page_two[first:])
+    parts = [
+        b"1 0 obj << /Type /Page /Contents [5 0 R] >> endobj", b"5 0 obj << /Length %d /Filter /FlateDecode >> stream\n" % len(packed) + packed + b"\nendstream endobj",
+        b"7 0 obj << /Type /ObjStm /N 1 /First 4 /Filter /FlateDecode >> stream\n" + packed_objects + b"\nendstream endobj", b"9 0 obj << >> stream\nBT /F1 8 Tf 1 2 Td (last) Tj ET\nendstream endobj",
+    ]
+    (tmp_path / "a.pdf").write_bytes(b"%PDF-1.5\n" + b"\n".join(parts))
+    got = [(r.page, round(r.x0, 3), round(r.y0, 3), r.text) for r in pdf.read_pdf_words(spark, str(tmp_path)).orderBy("word").collect()]
+    assert got == [(1, 100.0, 700.0, "HAD60"), (1, 130.0, 700.0, "BP001"), (1, 100.0, 680.0, "G11"), (1, 120.0, 680.0, "valve"), (1, 50.0, 60.0, "AB"), (1, 10.0, 90.0, "a(b)"), (1, 10.0, 78.0, "cA"), (2, 1.0, 2.0, "last")]
+    listing = files.walk(spark, str(tmp_path), "*.pdf")
+    assert files.changed_since(listing, listing).count() == 0 and files.changed_since(listing, listing.withColumn("size", F.col("size") + 1)).count() == 1
+
+
+def test_streams_of_failures_sessions_and_chunks(spark, tmp_path):
+    import datetime
+
+    from gridloom.streaming import ledger
+
+    t = datetime.datetime(2024, 1, 1)
+    rows = [("a", t, 1), ("a", t + datetime.timedelta(minutes=3), 2), ("a", t + datetime.timedelta(hours=2), 3), ("b", t, 4), ("z", t + datetime.timedelta(days=1), 5)]
+    for i, r in enumerate(rows):
+        spark.createDataFrame([r], "k string, ts timestamp, n int").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    run = lambda df, mode, name: df.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start().awaitTermination(120)
+    stream = lambda: ledger.arrivals(spark, str(tmp_path / "in"), "k string, ts timestamp, n int", files=100)
+    run(ledger.failures(stream(), "k", "ts"), "complete", "fails")
+    assert {(r.k, r.start, r.n) for r in spark.table("fails").collect()} == {("a", t, 2), ("a", t + datetime.timedelta(hours=2), 1), ("b", t, 1), ("z", t + datetime.timedelta(days=1), 1)}
+    run(ledger.sessions(stream(), "k", "ts"), "complete", "visits")
+    assert {(r.k, r.n) for r in spark.table("visits").collect()} == {("a", 2), ("a", 1), ("b", 1), ("z", 1)}
+    run(ledger.live_view(ledger.arrivals(spark, str(tmp_path / "in"), "k string, ts timestamp, n int"), F.col("n") > 1, "k"), "complete", "view")
+    assert {(r.value, r.n, r.passed) for r in spark.table("view").collect()} == {("a", 3, 2), ("b", 1, 1), ("z", 1, 1)}
