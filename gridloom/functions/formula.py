@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from gridloom.functions import sheet
 from gridloom.functions.formats import general
@@ -63,7 +64,8 @@ class _Plan:
     counts: list[tuple[str, list[tuple[str, Column]], Column | None]] = field(default_factory=list)
     lookups: list[tuple[str, str, str, Column]] = field(default_factory=list)
     compares: list[tuple[str, str, str, Column]] = field(default_factory=list)
-    numbers: list[tuple[str, Column]] = field(default_factory=list)
+    numbers: list[tuple[str, Column, str]] = field(default_factory=list)
+    sorted: list[tuple[str, str, Column, int]] = field(default_factory=list)
     rows: bool = False
 
     def column(self, name: str) -> Value:
@@ -134,7 +136,7 @@ class _Reader:
         if self.next_is("-", "+"):
             _, s = self.take()
             v = self.operand()
-            return Value(-v.number(), "number") if s == "-" else v
+            return Value(-v.number(), "number", literal=-v.literal if isinstance(v.literal, float) else None) if s == "-" else v
         kind, s = self.take()
         if kind == "number":
             return Value(F.lit(float(s)), "number", literal=float(s))
@@ -386,10 +388,15 @@ def _index(plan: _Plan, name: str, found: _Found) -> Value:
     return Value(F.col(out), plan.column(name).kind)
 
 
-def _match(plan: _Plan, want: Value, name: str, how: Value | None = None) -> _Found:
-    if how is None or how.literal != 0.0:
-        raise NotImplementedError("MATCH in sorted columns")
-    return _Found(name, F.lower(want.text()))
+def _match(plan: _Plan, want: Value, name: str, how: Value | None = None) -> _Found | Value:
+    if how is not None and how.literal == 0.0:
+        return _Found(name, F.lower(want.text()))
+    if plan.column(name).kind not in ("number", "date") or (how is not None and how.literal is None):
+        raise NotImplementedError("MATCH in sorted columns of texts, or of a computed kind")
+    at = f"_sorted{len(plan.sorted)}"
+    plan.rows = True
+    plan.sorted.append((at, name, want.number(), -1 if how is not None and how.literal < 0 else 1))
+    return Value(F.col(at), "number")
 
 
 _WHOLE = {
@@ -458,6 +465,9 @@ def with_formula(df: DataFrame, name: str, formula: str, order: list[str] | None
     out = df
     for at, column, sign, want in plan.compares:
         out = _compared(out, df, at, plan.column(column), sign, want)
+    for at, column, want, sign in plan.sorted:
+        v = plan.column(column)
+        out = _last_before(out, df, at, (sheet.serial(v.c) if v.kind == "date" else v.c).cast("double"), want, sign)
     for at, row, column in plan.numbers:
         out = out.withColumn("_want", row).join(df.select(F.col(_ROW).alias("_at"), F.col(f"`{column}`").alias(at)), F.col("_want") == F.col("_at"), "left").drop("_want", "_at")
     for at, pairs, where in plan.counts:
@@ -493,6 +503,35 @@ def _compared(out: DataFrame, df: DataFrame, at: str, column: Value, sign: str,
     return out.join(counted, F.col("_want") == F.col("_v"), "left").drop("_v", "_want")
 
 
+def _last_before(out: DataFrame, df: DataFrame, at: str, value: Column, want: Column, sign: int) -> DataFrame:
+    """out with the last row before the first one whose value lies beyond the wanted one (above for sign 1, below for -1), blanks left out; an error where that is the first row.
+
+    Only rows that exceed all before them can be the first beyond anything, and these rise with their values: so the wanted one is told by how many of them
+    it reaches. Maxima and counts are taken in ranges of rows and of values, each with what those before it come to.
+    """
+    filled = df.select(F.col(_ROW), (value * sign).alias("_v")).where(F.col("_v").isNotNull())
+    rows = kept(filled.repartitionByRange(_ROW).withColumn("_range", F.spark_partition_id()))
+    ends = sorted((tuple(r) for r in rows.groupBy("_range").agg(F.max("_v"), F.max(_ROW)).collect()))  # as many as ranges
+    before, top, last = [], None, None
+    for r, v, n in ends:
+        before += [F.lit(r), F.struct(F.lit(top).cast("double").alias("top"), F.lit(last).cast("long").alias("last"))]
+        top, last = v if top is None else max(top, v), n
+    if not ends:
+        return out.withColumn(at, F.lit(None).cast("double"))
+    carried = F.try_element_at(F.create_map(*before), F.col("_range"))
+    w = W.partitionBy("_range").orderBy(_ROW)
+    so_far = F.greatest(F.max("_v").over(w.rowsBetween(W.unboundedPreceding, -1)), carried["top"])
+    rows = rows.withColumn("_top", so_far).withColumn("_prev", F.coalesce(F.lag(_ROW).over(w), carried["last"]))
+    records = kept(rows.where("_top IS NULL OR _v > _top").select("_v", "_prev"))
+    ranked = kept(running(records.withColumn("_n", F.lit(1)), "_v", "_n", "_rank").select(F.col("_rank").alias("_reached"), "_prev"))
+    out = out.withColumn("_want", want.cast("double") * sign)
+    wants = out.select(F.col("_want").alias("_v")).where("_v IS NOT NULL").distinct().withColumn("_n", F.lit(0))
+    each = running(kept(records.select("_v", F.lit(1).alias("_n")).unionByName(wants).groupBy("_v").agg(F.sum("_n").alias("_n"))), "_v", "_n", "_below")
+    reached = each.select("_v", (F.col("_below") + F.col("_n")).alias("_reached")).join(ranked, "_reached", "left")
+    found = reached.select(F.col("_v"), F.when(F.col("_reached") == 0, None).otherwise(F.coalesce("_prev", F.when(F.col("_reached") >= records.count(), F.lit(last)))).cast("double").alias(at))
+    return out.join(found, F.col("_want") == F.col("_v"), "left").drop("_v", "_want")
+
+
 def _joined(out: DataFrame, n: DataFrame, keys: list[str], wants: list[Column]) -> DataFrame:
     for k, w in zip(keys, wants, strict=True):
         out = out.withColumn(f"_want{k}", w)

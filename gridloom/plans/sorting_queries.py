@@ -172,6 +172,18 @@ def formula_rows(spark, sf_dir):
     return df.select("p_partkey", "first_row", "by_number")
 
 
+@query("""WITH r AS (SELECT *, row_number() OVER (ORDER BY p_partkey) AS rn FROM part), u AS (SELECT rn, p_partkey * 1.5::DOUBLE + CASE WHEN p_partkey % 50 = 49 THEN 40 ELSE 0 END AS v FROM r), w AS (SELECT p_partkey, p_size * 9.0::DOUBLE AS want FROM r),
+b AS (SELECT p_partkey, (SELECT min(rn) FROM u WHERE v > want) AS up, (SELECT min(rn) FROM u WHERE -v < want - 400) AS down FROM w) SELECT p_partkey, CASE WHEN up IS NULL THEN (SELECT max(rn) FROM r) WHEN up > 1 THEN up - 1 END::DOUBLE AS rising, CASE WHEN down IS NULL THEN (SELECT max(rn) FROM r) WHEN down > 1 THEN down - 1 END::DOUBLE AS falling FROM b""")
+def formula_sorted_match(spark, sf_dir):
+    """MATCH in a rising column that is not quite sorted, and in a falling one: the last row before the first that lies beyond."""
+    k = F.col("p_partkey")
+    v = k * 1.5 + F.when(k % 50 == 49, 40).otherwise(0)
+    df = table(spark, sf_dir, "part").select("p_partkey", v.alias("v"), (-v).alias("w"), "p_size")
+    df = with_formula(df, "rising", "=MATCH(D2*9,B:B)", ["p_partkey"])
+    df = with_formula(df, "falling", "=MATCH(D2*9-400,C:C,-1)", ["p_partkey"])
+    return df.select("p_partkey", "rising", "falling")
+
+
 @query("""SELECT 'p_brand' AS counter, p_brand AS value, count(*) AS n FROM part GROUP BY 2 UNION ALL SELECT 'p_type', p_type, count(*) FROM part GROUP BY 2""")
 def status_counters(spark, sf_dir):
     return matching.status_counts(table(spark, sf_dir, "part"), ["p_brand", "p_type"])

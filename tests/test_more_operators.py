@@ -319,3 +319,27 @@ def test_streams_of_failures_sessions_and_chunks(spark, tmp_path):
     assert {(r.k, r.n) for r in spark.table("visits").collect()} == {("a", 2), ("a", 1), ("b", 1), ("z", 1)}
     run(ledger.live_view(ledger.arrivals(spark, str(tmp_path / "in"), "k string, ts timestamp, n int"), F.col("n") > 1, "k"), "complete", "view")
     assert {(r.value, r.n, r.passed) for r in spark.table("view").collect()} == {("a", 3, 2), ("b", 1, 1), ("z", 1, 1)}
+
+
+def test_sorted_match_against_a_loop(spark):
+    r = random.Random(11)
+    for rising in (True, False):
+        values = [None if r.random() < 0.2 else r.randrange(30) for _ in range(60)]
+        if rising:
+            values = sorted(v for v in values if v is not None)
+            values[7:7] = [None, None]
+            values[20] = 99
+        df = spark.createDataFrame([(i, v, r.randrange(-2, 34)) for i, v in enumerate(values)], "k long, a int, b int")
+        for formula, beyond in (("=MATCH(C1,B:B,1)", lambda v, x: v > x), ("=MATCH(C1,B:B,-1)", lambda v, x: v < x)):
+            got = [x.m for x in with_formula(df, "m", formula, ["k"]).orderBy("k").collect()]
+            want = []
+            for row in df.orderBy("k").collect():
+                best = None
+                for i, v in enumerate(values):
+                    if v is None:
+                        continue
+                    if beyond(v, row.b):
+                        break
+                    best = i + 1
+                want.append(best)
+            assert got == want, formula
