@@ -184,10 +184,10 @@ def _banded(x: str, y: str, most: int) -> int:
 
 def lcs_pairs(left: DataFrame, right: DataFrame, key: str, order: str, label: str) -> DataFrame:
     """key, i, j, how: a longest common subsequence of the labels of each key (Hunt and Szymanski: the longest strictly rising chain of places
-    that match), and of stretches of equal length between its pairs the rows one by one ('gap')."""
+    that match), and of stretches of equal length between its pairs the rows one by one ('gap'). A key of one side alone has none."""
 
     def align(k: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        x, y = a.sort_values(order)[label].tolist(), b.sort_values(order)[label].tolist()
+        x, y = a.sort_values(order)[label].tolist(), b.sort_values("_order")["_label"].tolist()
         at: dict = {}
         for j, v in enumerate(y):
             at.setdefault(v, []).append(j)
@@ -215,7 +215,9 @@ def lcs_pairs(left: DataFrame, right: DataFrame, key: str, order: str, label: st
 
     ship(left.sparkSession)
     kind = dict(left.dtypes)[key]
-    return left.groupBy(key).cogroup(right.groupBy(key)).applyInPandas(align, f"{key} {kind}, i int, j int, how string")
+    # names of its own: a cogroup of two sides of one table loses columns that both share
+    other = right.select(F.col(key).alias("_key"), F.col(order).alias("_order"), F.col(label).alias("_label"))
+    return left.groupBy(key).cogroup(other.groupBy("_key")).applyInPandas(align, f"{key} {kind}, i int, j int, how string")
 
 
 def drop_overlaps(boxes: DataFrame, page: str, share: float) -> DataFrame:

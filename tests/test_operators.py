@@ -47,6 +47,16 @@ def test_lcs_with_equal_gaps(spark):
     assert got == [(1, 0, 0, "label"), (1, 1, 1, "gap"), (1, 2, 2, "label")]
 
 
+def test_both_sides_of_one_table_under_a_projection(spark):
+    from gridloom.operators.selection import ordered_assignment
+
+    t = spark.createDataFrame([(k, i, c) for k, w in enumerate(["abc", "abd", "xbd"]) for i, c in enumerate(w)], "k long, o long, l string")
+    got = entities.lcs_pairs(t, t.select((t.k - 1).alias("k"), "o", "l"), "k", "o", "l").select("how", "j", "i", "k").collect()
+    assert sorted((r.k, r.i, r.j, r.how) for r in got) == [(0, 0, 0, "label"), (0, 1, 1, "label"), (0, 2, 2, "gap"), (1, 0, 0, "gap"), (1, 1, 1, "label"), (1, 2, 2, "label")]
+    y = t.select("k", t.o.cast("double").alias("y"))
+    assert {(r.k, r.i, r.j) for r in ordered_assignment(y.where("y > 0"), y.where("y < 2"), "k", "y", 5.0).select("j", "i", "k").collect()} == {(k, i, i) for k in range(3) for i in (1, 2)}
+
+
 def test_overlap_is_measured_against_kept_boxes_only(spark):
     boxes = spark.createDataFrame([(1, 1, 0.0, 0.0, 10.0, 10.0), (1, 2, 0.0, 0.0, 9.0, 9.0), (1, 3, 8.5, 8.5, 12.5, 12.5)], "page long, id long, x0 double, y0 double, x1 double, y1 double")
     assert sorted(r.id for r in entities.drop_overlaps(boxes, "page", 0.5).collect()) == [1, 3]
