@@ -53,9 +53,20 @@ def contained(c: Column, least: int = 6) -> Column:
     return F.when(F.length(c) >= least, made).otherwise(F.array().cast(_CANDIDATE))
 
 
-def resolve_valves(queries: DataFrame, index: DataFrame) -> DataFrame:
-    """index (key compact, entity, units array). The whole query, then without an attachment's suffix, then without the unit's prefix
-    (entries that serve the unit first), then the longest contained key, then a part between signs."""
+def _named(space: str, *parts: Column) -> Column:
+    """A key in a space of its own, so that one join serves several indexes. Compact keys hold no bar."""
+    return F.when(parts[-1].isNotNull(), F.concat_ws("|", F.lit(space), *parts))
+
+
+def _bare(found: DataFrame) -> DataFrame:
+    """Answers with their keys as the indexes have them."""
+    return found.withColumn("key", F.substring_index("key", "|", -1))
+
+
+def resolve_valves(queries: DataFrame, index: DataFrame, weak: DataFrame | None = None) -> DataFrame:
+    """index (key compact, entity, units array); weak (key compact, entity): a maker's names that several valves share. The whole query, then without an
+    attachment's suffix, then without the unit's prefix (entries that serve the unit first), then weak names without the unit and whole, then the longest contained
+    key, then a part between signs."""
     c = compact(F.col("q"))
     prefix = r"^([GCS]\d\d)(90)?(.+)$"
     unit = matched(c, prefix, 1)
@@ -67,30 +78,73 @@ def resolve_valves(queries: DataFrame, index: DataFrame) -> DataFrame:
         candidate(2, "suffix", matched(c, r"^(.{4,}?)(?:KH|MB|BG|XG|XS|XB)\d\d$", 1)),
         candidate(3, "unit", F.when(F.length(matched(c, prefix, 3)) >= 3, matched(c, prefix, 3)), unit),
         candidate(4, "unit", ninety, unit),
+        candidate(5, "weak", _named("weak", matched(c, prefix, 3))),
+        candidate(6, "weak", _named("weak", c)),
         contained(c),
         tokens,
     ]
-    return cascade(queries, ask, index, F.array_contains("units", F.col("unit")) | (F.size("units") == 0))
-
-
-def resolve_oem(queries: DataFrame, index: DataFrame) -> DataFrame:
-    """index (key compact, entity, scope: first letter of a unit or NULL for any). The whole query, then without the unit (in scope only), then
-    without a leading 90, then the signal behind a controller's name."""
-    c = compact(F.col("q"))
-    prefix = r"^(G\d\d|S\d\d|C\d\d)(.{2,})$"
-    unit, rest = matched(c, prefix, 1), matched(c, prefix, 2)
-    parts = F.filter(F.split(F.trim("q"), r"[\s.:/\\]+"), lambda t: (t != "") & ~F.upper(t).isin("PV", "VALUE"))
-    controller = F.when(F.size(parts) == 2, matched(compact(F.get(parts, F.lit(0))), r"^([GSC]\d\d)$", 1))
-    ask = [
-        candidate(1, "key", c),
-        candidate(2, "unit", rest, unit),
-        candidate(3, "90", matched(rest, r"^90(.+)$", 1), unit),
-        candidate(4, "90", matched(c, r"^90(.{2,})$", 1)),
-        candidate(5, "signal", F.when(controller.isNotNull(), compact(F.get(parts, F.lit(1)))), controller),
-        candidate(6, "signal", F.when(F.size(parts) == 1, F.when(F.length(compact(F.get(parts, F.lit(0)))) >= 3, compact(F.get(parts, F.lit(0)))))),
-    ]
+    if weak is not None:
+        index = index.select("key", "entity", "units").unionByName(weak.select(_named("weak", F.col("key")).alias("key"), "entity", F.array().cast("array<string>").alias("units")))
+    return _bare(cascade(queries, ask, index, F.array_contains("units", F.col("unit")) | (F.size("units") == 0)))
+
+
+#: How gas (G) and steam (S) turbines are written, their controllers' names, a plant code (unit, XX for any gas and YY for any steam turbine; body; part of it), and what may follow a signal.
+GAS, STEAM = r"^GT?([123][12])(.{2,})$", r"^ST?([123]0)(.{2,})$"
+GAS_CONTROLLER, STEAM_CONTROLLER = r"^G([123][12])S?$", r"^S(?:AMP([123])|([123])S?)$"
+PLANT_CODE = r"^([A-Z]\d\d|XX|YY)?([A-Z]{3}\d\d[A-Z]{2}\d{3}[A-Z]??)([A-Z]{1,2}\d\d)?$"
+SIGNAL_ENDS = ("PV", "VALUE")
+
+
+def resolve_oem(queries: DataFrame, index: DataFrame, bodies: DataFrame | None = None, signals: DataFrame | None = None) -> DataFrame:
+    """index (key compact, entity, scope: first letter of a unit or NULL for any), bodies (key, entity, scope, kind 'kks' or 'oldkks') by a plant code's
+    body, signals (key compact, entity, scope). The whole query, then without the unit (in scope only), then without a leading 90, then the body of a plant code of
+    its scope, else of none (now valid codes before old ones), then one signal's name, which a controller's may precede. A signal's name that has no controller and
+    no underscore counts only where no longer key of index begins with it: it may be half a key."""
+    first = compact(F.get("_said", F.lit(0)))
+    number = F.concat(*(F.regexp_extract(first, STEAM_CONTROLLER, i) for i in (1, 2)))
+    # step by step: an expression that others use more than once stays a column and is computed once
+    asked = queries.select("q", compact(F.col("q")).alias("_c"), F.filter(F.split(F.trim("q"), r"[\s.:/\\]+"), lambda t: t != "").alias("_said"))
+    c = F.col("_c")
+    asked = asked.withColumns({
+        "_unit": F.coalesce(F.concat(F.lit("G"), matched(c, GAS, 1)), F.concat(F.lit("S"), matched(c, STEAM, 1))),
+        "_rest": F.coalesce(matched(c, GAS, 2), matched(c, STEAM, 2)),
+        "_place": matched(c, PLANT_CODE, 1),
+        "_body": matched(c, PLANT_CODE, 2),
+        "_part": matched(c, PLANT_CODE, 3),
+        "_controller": F.when(F.size("_said") > 1, F.coalesce(F.concat(F.lit("G"), matched(first, GAS_CONTROLLER, 1)), F.when(first.rlike(STEAM_CONTROLLER), F.concat(F.lit("S"), number, F.lit("0"))))),
+    })
+    asked = asked.withColumns({
+        "_of": F.when(F.col("_place").rlike("^G[123][12]$|^S[123]0$"), F.col("_place")),
+        "_names": F.when(F.col("_controller").isNotNull(), F.slice("_said", F.lit(2), F.size("_said"))).otherwise(F.col("_said")),
+    })
+    # one name, and behind it only what may follow a signal
+    alone = F.forall(F.slice("_names", F.lit(2), F.size("_names")), lambda t: F.upper(t).isin(*SIGNAL_ENDS))
+    asked = asked.withColumns({
+        "_scope": F.when(F.col("_place") == "XX", "G").when(F.col("_place") == "YY", "S").otherwise(F.substring("_of", 1, 1)),
+        "_name": F.when(alone, F.get("_names", F.lit(0))),
+    })
+    asked = asked.withColumn("_signal", F.when(F.length(compact(F.col("_name"))) >= 3, compact(F.col("_name"))))
+
+    unit, rest, scope, signal, controller = (F.col(n) for n in ("_unit", "_rest", "_scope", "_signal", "_controller"))
+    of, part = F.coalesce("_of", F.lit("")), F.coalesce("_part", F.lit(""))
+    ask = [candidate(1, "key", c), candidate(2, "unit", rest, unit), candidate(3, "90", matched(rest, r"^90(.+)$", 1), unit), candidate(4, "90", matched(c, r"^90(.{2,})$", 1))]
+    for rank, (kind, sc) in enumerate([("kks", scope), ("kks", F.lit("")), ("oldkks", scope), ("oldkks", F.lit(""))], 5):
+        key = F.when(scope.isNotNull(), _named(kind, sc, F.col("_body")))
+        ask += [candidate(rank, "kks", F.when(part == "", key), of), candidate(rank, "kks-sub", F.when(part != "", key), of)] if kind == "kks" else [candidate(rank, kind, key, of)]
+    named = signal if signals is None else _named("signal", signal)
+    marked = F.contains("_name", F.lit("_"))
+    ask += [candidate(9, "signal", F.when(controller.isNotNull(), named), controller), candidate(10, "signal", F.when(controller.isNull() & marked, named)), candidate(11, "half", F.when(controller.isNull() & ~marked, named))]
+    every = index.select("key", "entity", "scope")
+    if bodies is not None:
+        every = every.unionByName(bodies.select(F.concat_ws("|", "kind", F.coalesce("scope", F.lit("")), "key").alias("key"), "entity", "scope"))
+    if signals is not None:
+        every = every.unionByName(signals.select(_named("signal", F.col("key")).alias("key"), "entity", "scope"))
     in_scope = F.col("scope").isNull() | (F.col("scope") == F.substring("unit", 1, 1))
-    return cascade(queries, ask, index, in_scope, strict=True)
+    found = _bare(cascade(asked, ask, every, in_scope, strict=True))
+    begun = F.transform(F.sequence(F.lit(3), F.length("key") - 1), lambda n: F.substring("key", F.lit(1), n))
+    begun = index.where("length(key) > 3").select(F.explode(begun).alias("key")).distinct().withColumn("_begun", F.lit(True))
+    whole = found.join(begun, "key", "left").where("via <> 'half' OR _begun IS NULL")
+    return whole.select("q", "entity", F.when(F.col("via") == "half", "signal").otherwise(F.col("via")).alias("via"), "key", "unit")
 
 
 def resolve_kks(queries: DataFrame, index: DataFrame) -> DataFrame:

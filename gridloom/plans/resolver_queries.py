@@ -67,6 +67,32 @@ def lookup_precedence(spark, sf_dir):
     return resolvers.first_of([("oem", resolvers.resolve_oem(q, index)), ("kks", resolvers.resolve_kks(q, kks))])
 
 
+@query("""WITH b AS (SELECT p_partkey AS entity, 'HAD' || lpad(p_size::VARCHAR, 2, '0') || 'BP' || lpad((p_partkey % 1000)::VARCHAR, 3, '0') AS body, CASE p_partkey % 3 WHEN 0 THEN 'G' WHEN 1 THEN 'S' ELSE '' END AS sc, CASE WHEN p_partkey % 2 = 0 THEN 'kks' ELSE 'oldkks' END AS kind FROM part),
+w(pre, sc, unit) AS (VALUES ('G11', 'G', 'G11'), ('S20', 'S', 'S20'), ('XX', 'G', ''), ('C10', NULL, '')), e(sub) AS (VALUES (''), ('KH01')),
+q AS (SELECT DISTINCT pre || '_' || body || sub AS q, body, sub, w.sc, unit FROM b, w, e),
+h AS (SELECT q, entity, CASE kind WHEN 'kks' THEN 0 ELSE 2 END + (b.sc = '')::INT AS rank, CASE WHEN kind = 'oldkks' THEN kind WHEN sub = '' THEN 'kks' ELSE 'kks-sub' END AS via, body AS key, unit FROM q JOIN b USING (body) WHERE q.sc IS NOT NULL AND b.sc IN (q.sc, ''))
+SELECT q, entity, via, key, unit FROM h QUALIFY rank = min(rank) OVER (PARTITION BY q)""")
+def oem_plant_codes(spark, sf_dir):
+    """Plant codes of gas, steam and common units, with and without a part behind, by the bodies of the codes that are valid and of the old ones."""
+    body = F.concat(F.lit("HAD"), F.lpad(F.col("p_size").cast("string"), 2, "0"), F.lit("BP"), F.lpad((F.col("p_partkey") % 1000).cast("string"), 3, "0"))
+    scope = F.when(F.col("p_partkey") % 3 == 0, "G").when(F.col("p_partkey") % 3 == 1, "S")
+    b = table(spark, sf_dir, "part").select(body.alias("key"), F.col("p_partkey").alias("entity"), scope.alias("scope"), F.when(F.col("p_partkey") % 2 == 0, "kks").otherwise("oldkks").alias("kind"))
+    forms = F.array(*(F.concat(F.lit(f"{unit}_"), F.col("key"), F.lit(part)) for unit in ("G11", "S20", "XX", "C10") for part in ("", "KH01")))
+    return resolvers.resolve_oem(b.select(F.explode(forms).alias("q")).distinct(), b.limit(0), b)
+
+
+@query("""WITH i AS (SELECT DISTINCT 'BRAND' || substr(p_brand, 7) AS key FROM part), w AS (SELECT DISTINCT upper(regexp_replace(p_type, '[^A-Za-z0-9]', '', 'g')) AS key, p_brand FROM part), n AS (SELECT DISTINCT p_type, p_brand FROM part),
+f AS (SELECT DISTINCT p_type AS q, 'weak' AS via, upper(regexp_replace(p_type, '[^A-Za-z0-9]', '', 'g')) AS key, '' AS unit FROM n UNION SELECT 'G11_' || p_type, 'weak', upper(regexp_replace(p_type, '[^A-Za-z0-9]', '', 'g')), '' FROM n)
+SELECT q, p_brand AS entity, via, key, unit FROM f JOIN w USING (key) UNION ALL SELECT DISTINCT p_brand || '-KH01', p_brand, 'suffix', upper(regexp_replace(p_brand, '[^A-Za-z0-9]', '', 'g')), '' FROM n""")
+def valve_weak_names(spark, sf_dir):
+    """Makers' names, which several brands share, with and without a unit ahead; brands with an attachment's suffix."""
+    p = table(spark, sf_dir, "part").select("p_type", "p_brand").distinct()
+    clean = lambda c: F.upper(F.regexp_replace(F.col(c), "[^A-Za-z0-9]", ""))
+    index = p.select(clean("p_brand").alias("key"), F.col("p_brand").alias("entity"), F.array(F.lit("G12")).alias("units")).distinct()
+    asked = p.select(F.explode(F.array("p_type", F.concat(F.lit("G11_"), "p_type"), F.concat("p_brand", F.lit("-KH01")))).alias("q")).distinct()
+    return resolvers.resolve_valves(asked, index, p.select(clean("p_type").alias("key"), F.col("p_brand").alias("entity")))
+
+
 @query("""WITH s AS (SELECT c_name AS signal FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT c_name || 'XQ01' FROM customer), t AS (SELECT c_name AS tag FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT 'Customer#00000000')
 SELECT signal, tag, CASE WHEN signal = tag THEN 'R1' ELSE 'R6' END AS rule FROM s JOIN t ON starts_with(signal, tag) QUALIFY row_number() OVER (PARTITION BY signal ORDER BY length(tag) DESC) = 1""")
 def prefix_longest_match(spark, sf_dir):

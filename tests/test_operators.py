@@ -54,7 +54,7 @@ def test_both_sides_of_one_table_under_a_projection(spark):
     got = entities.lcs_pairs(t, t.select((t.k - 1).alias("k"), "o", "l"), "k", "o", "l").select("how", "j", "i", "k").collect()
     assert sorted((r.k, r.i, r.j, r.how) for r in got) == [(0, 0, 0, "label"), (0, 1, 1, "label"), (0, 2, 2, "gap"), (1, 0, 0, "gap"), (1, 1, 1, "label"), (1, 2, 2, "label")]
     y = t.select("k", t.o.cast("double").alias("y"))
-    assert {(r.k, r.i, r.j) for r in ordered_assignment(y.where("y > 0"), y.where("y < 2"), "k", "y", 5.0).select("j", "i", "k").collect()} == {(k, i, i) for k in range(3) for i in (1, 2)}
+    assert {(r.k, r.i, r.j) for r in ordered_assignment(y.where("y > 0"), y.where("y < 2"), "k", "y", 5.0).select("j", "i", "k").collect()} == {(k, i, i) for k in range(3) for i in (0, 1)}
 
 
 def test_overlap_is_measured_against_kept_boxes_only(spark):
@@ -207,3 +207,14 @@ def test_lookup_of_a_missing_key_is_an_error(spark):
     df = spark.createDataFrame([("a", "x"), ("b", None), (None, "y")], "k string, v string")
     out = with_formula(df, "f", '=IFERROR(INDEX(A:A,MATCH(B2,A:A,0)),"no")')
     assert {r.f for r in out.collect()} == {"no"} and out.count() == 3
+
+
+def test_oem_signals_and_units_as_written(spark):
+    from gridloom.operators.resolvers import resolve_oem
+
+    index = spark.createDataFrame([("96QV2", "valve", "G"), ("20FG1", "gas valve", None)], "key string, entity string, scope string")
+    signals = spark.createDataFrame([("96QV", "a", "G"), ("CTDA1", "b", None), ("AFPAP", "c", "S"), ("A1B", "d", None)], "key string, entity string, scope string")
+    asked = ["96QV", "96QV.PV", "G11.96qv", "GT12S 96QV", "G12S 96QV", "S1.afpap", "SAMP1.afpap.PV.Value", "G11.afpap", "ctda1", "a1_b", "ctda1 ctda1", "GT11 20FG-1", "S10_96QV-2", "S30_9020FG1"]
+    got = {(r.q, r.entity, r.via, r.unit) for r in resolve_oem(spark.createDataFrame([(q,) for q in asked], "q string"), index, None, signals).collect()}
+    assert got == {("G11.96qv", "a", "signal", "G11"), ("G12S 96QV", "a", "signal", "G12"), ("S1.afpap", "c", "signal", "S10"), ("SAMP1.afpap.PV.Value", "c", "signal", "S10"),
+                   ("ctda1", "b", "signal", ""), ("a1_b", "d", "signal", ""), ("GT11 20FG-1", "gas valve", "unit", "G11"), ("S30_9020FG1", "gas valve", "90", "S30")}
