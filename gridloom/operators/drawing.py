@@ -62,3 +62,23 @@ def table_rows(words: DataFrame, least: int = 5, spacing: float = 2.6, edge: flo
     w = w.withColumn("_b", before).withColumn("_new", (F.col("_b.c").isNull() | (F.col("across") - F.col("_b.c") > spacing * F.greatest(F.col("_b.h"), F.lit(1.0)))).cast("int"))
     w = w.withColumn("_run", F.sum("_new").over(by)).withColumn("_n", F.count(F.lit(1)).over(W.partitionBy("page", "dir", "_edge", "_run")))
     return w.where(F.col("_n") >= least).select("page", "id")
+
+
+#: How a channel's legs follow its sensor.
+LEGS = {"in": 0, "relay": 1, "rec": 2}
+
+
+def channel_legs(legs: DataFrame, place: list[str], source: list[str]) -> DataFrame:
+    """legs (id, kind, `place`, `source`) -> id, kind, `place` of the channel, position from 0, siblings: what hangs on one monitor channel, its sensor (kind 'in') first.
+    A sensor's channel is its own place, any other leg's is its source, by the first column of place (the panel) and `source`; legs without one go. Channels
+    without a sensor or with several are left out. siblings counts the sensors on the same module (place without its last column), itself not included.
+
+    Sensors are counted in an aggregate ahead of the window, so a channel that many legs share without one sensor never comes to one task.
+    """
+    own = [F.when(F.col("kind") == "in", F.col(p)).otherwise(F.col(s)).alias(p) for p, s in zip(place[1:], source, strict=True)]
+    at = legs.select("id", "kind", place[0], *own).dropna(subset=place)
+    single = at.where("kind = 'in'").groupBy(*place).count().where("count = 1").drop("count")
+    sensors = at.where("kind = 'in'").groupBy(*place[:-1]).agg(F.count(F.lit(1)).alias("_n"))
+    order = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in LEGS.items() for x in kv)), F.col("kind")), F.lit(len(LEGS)))
+    chain = at.join(single, place).withColumn("position", F.row_number().over(W.partitionBy(*place).orderBy(order, "id")) - 1)
+    return chain.join(sensors, place[:-1]).select("id", "kind", *place, "position", (F.col("_n") - 1).alias("siblings"))

@@ -76,3 +76,18 @@ SELECT "table", expected::BIGINT AS expected, exported, CASE WHEN exported IS NU
 def dump_audit(spark, sf_dir):
     expected = spark.createDataFrame([("region", 5), ("nation", 24), ("ghost", 1)], "table string, expected long")
     return relational.audit_counts({n: table(spark, sf_dir, n) for n in ("region", "nation", "customer")}, expected)
+
+
+@query("""WITH m AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_returnflag AS panel, l_partkey % 50 AS rack, l_suppkey % 10 AS slot, l_orderkey % 4 AS ch,
+CASE WHEN l_linenumber = 1 AND l_orderkey % 16 = 0 THEN 'in' WHEN l_linenumber < 4 THEN 'relay' WHEN l_linenumber < 6 THEN 'rec' ELSE 'other' END AS kind FROM lineitem),
+s AS (SELECT panel, rack, slot, count(*) - 1 AS siblings FROM m WHERE kind = 'in' GROUP BY ALL),
+c AS (SELECT *, row_number() OVER (PARTITION BY panel, rack, slot, ch ORDER BY CASE kind WHEN 'in' THEN 0 WHEN 'relay' THEN 1 WHEN 'rec' THEN 2 ELSE 3 END, id) - 1 AS position FROM m QUALIFY count(*) FILTER (kind = 'in') OVER (PARTITION BY panel, rack, slot, ch) = 1)
+SELECT id, kind, panel, rack, slot, ch, position, siblings FROM c JOIN s USING (panel, rack, slot)""")
+def channel_chains(spark, sf_dir):
+    """Line items as legs of monitor channels; legs other than sensors sit a rack further and name the channel that they follow."""
+    kind = F.when((F.col("l_linenumber") == 1) & (F.col("l_orderkey") % 16 == 0), "in").when(F.col("l_linenumber") < 4, "relay").when(F.col("l_linenumber") < 6, "rec").otherwise("other")
+    m = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), kind.alias("kind"), F.col("l_returnflag").alias("panel"), (F.col("l_partkey") % 50).alias("at_rack"), (F.col("l_suppkey") % 10).alias("at_slot"), (F.col("l_orderkey") % 4).alias("at_ch"))
+    sensor = F.col("kind") == "in"
+    m = m.withColumns({"rack": F.col("at_rack") + F.when(sensor, 0).otherwise(1), "slot": F.col("at_slot"), "ch": F.col("at_ch")})
+    m = m.withColumns({c: F.when(~sensor, F.col(c)) for c in ("at_rack", "at_slot", "at_ch")})
+    return drawing.channel_legs(m, ["panel", "rack", "slot", "ch"], ["at_rack", "at_slot", "at_ch"])
