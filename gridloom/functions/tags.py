@@ -70,7 +70,7 @@ def classified(c: Column, families: list[tuple[str, str]]) -> Column:
 
 def shorthand(c: Column) -> Column:
     """Tags of one token that names several: LS-3461/3462A/B is LS-3461A, LS-3461B, LS-3462A, LS-3462B, and each number without a letter."""
-    shape = r"^([A-Z]{1,4})-([0-9]{2,5})((?:/[0-9]{2,5})*)([A-Z](?:/[A-Z])*)?$"
+    shape = r"^([A-Z]{1,4})-([0-9]{2,})((?:/[0-9]{2,})*)([A-Z](?:/[A-Z])*)?$"
     part = lambda i: F.regexp_extract(c, shape, i)
     pieces = lambda s: F.filter(F.split(s, "/"), lambda x: x != "")
     numbers = F.concat(F.array(part(2)), pieces(part(3)))

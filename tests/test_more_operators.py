@@ -362,3 +362,9 @@ def test_points_are_graded_once_for_devices_alike(spark):
     # nothing orders the pairs of all devices and points: what orders points stands below the join that gives them to the devices
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join") < plan.index("Window")
+
+
+def test_shorthand_of_numbers_of_any_length(spark):
+    one = lambda t: spark.range(1).select(tags.shorthand(F.lit(t)).alias("v")).first().v
+    assert one("LS-100000A/B") == ["LS-100000A", "LS-100000B", "LS-100000"] and one("LS-99999A/B") == ["LS-99999A", "LS-99999B", "LS-99999"]
+    assert one("PT-1234567/12345678901A") == ["PT-1234567A", "PT-1234567", "PT-12345678901A", "PT-12345678901"] and one("LS-1A/B") == ["LS-1A/B"]
