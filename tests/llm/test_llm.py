@@ -203,6 +203,28 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 140)}}
 
 
+def test_components_of_few_edges_take_one_table(spark, monkeypatch):
+    from gridloom.llm import components as module
+
+    made, rng = [], random.Random(3)
+    monkeypatch.setattr(module, "keep", lambda df: made.append(keep(df)) or made[-1])
+    chain = [(i, i + 1) for i in range(300)] + [(400, 401), (7, 7), (500, 400), (400, 500)]
+    rng.shuffle(chain)
+    edges = spark.createDataFrame(chain, "a long, b long")
+    want = {i: 0 for i in range(301)} | {400: 400, 401: 400, 500: 400}
+    got = [tuple(r) for r in components(edges).collect()]
+    assert len(made) == 1 and len(got) == len(want) and dict(got) == want
+    monkeypatch.setattr(module, "EDGES", 20)  # so that runs of edges meet in stars
+    monkeypatch.setattr(module, "release", lambda df: None)
+    small_batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        got = [tuple(r) for r in components(edges).collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", small_batch)
+    assert len(made) > 3 and len(got) == len(want) and dict(got) == want
+
+
 def test_repeated_passages(docs, none):
     got = suffix_dedup.repeated_passages(docs).collect()
     by = {}
